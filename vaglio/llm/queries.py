@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vaglio.llm import leakage, toxicity
+from vaglio.llm import leakage, names, toxicity
 from vaglio.session import table
 
 
+def p5_found(spark: SparkSession, root: str) -> DataFrame:
+    return names.same_entity_pairs(table(spark, root, "issuer_spellings"))
+
+
+def p5_entities(spark: SparkSession, root: str) -> DataFrame:
+    return names.entities(table(spark, root, "issuer_spellings"))
+
+
 def p8_found(spark: SparkSession, root: str) -> DataFrame:
     return leakage.leaks(table(spark, root, "documents"), table(spark, root, "eval_items")).select("doc_id", "item_id")
 
@@ -29,6 +37,8 @@ def p9_source_rates(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES = {
+    "p5_found": p5_found,
+    "p5_entities": p5_entities,
     "p8_found": p8_found,
     "p8_leak_lengths": p8_leak_lengths,
     "p9_found": p9_found,
