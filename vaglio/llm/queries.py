@@ -4,10 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vaglio.llm import leakage, names, toxicity
+from vaglio.llm import leakage, linkage, names, toxicity
 from vaglio.session import table
 
 
+def _linked(spark: SparkSession, root: str) -> DataFrame:
+    return linkage.link(table(spark, root, "grants"), table(spark, root, "register_calls"), table(spark, root, "currency_rates"))
+
+
+def p4_found(spark: SparkSession, root: str) -> DataFrame:
+    return linkage.pairs_found(_linked(spark, root))
+
+
+def p4_confidences(spark: SparkSession, root: str) -> DataFrame:
+    return _linked(spark, root)
+
+
 def p5_found(spark: SparkSession, root: str) -> DataFrame:
     return names.same_entity_pairs(table(spark, root, "issuer_spellings"))
 
@@ -37,6 +49,8 @@ def p9_source_rates(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES = {
+    "p4_found": p4_found,
+    "p4_confidences": p4_confidences,
     "p5_found": p5_found,
     "p5_entities": p5_entities,
     "p8_found": p8_found,
