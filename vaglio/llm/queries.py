@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vaglio.llm import leakage, linkage, names, toxicity
+from vaglio.llm import boilerplate, leakage, linkage, names, packing, toxicity
 from vaglio.session import table
 
 
+def p2_found(spark: SparkSession, root: str) -> DataFrame:
+    return boilerplate.furniture_lines(table(spark, root, "cleaned_pages"))
+
+
+def p2_main_text(spark: SparkSession, root: str) -> DataFrame:
+    return boilerplate.main_text(table(spark, root, "cleaned_pages"))
+
+
 def _linked(spark: SparkSession, root: str) -> DataFrame:
     return linkage.link(table(spark, root, "grants"), table(spark, root, "register_calls"), table(spark, root, "currency_rates"))
 
@@ -28,6 +36,14 @@ def p5_entities(spark: SparkSession, root: str) -> DataFrame:
     return names.entities(table(spark, root, "issuer_spellings"))
 
 
+def p7_containers(spark: SparkSession, root: str) -> DataFrame:
+    return packing.pack(table(spark, root, "documents"))
+
+
+def p7_fill(spark: SparkSession, root: str) -> DataFrame:
+    return packing.fill(packing.pack(table(spark, root, "documents")))
+
+
 def p8_found(spark: SparkSession, root: str) -> DataFrame:
     return leakage.leaks(table(spark, root, "documents"), table(spark, root, "eval_items")).select("doc_id", "item_id")
 
@@ -49,10 +65,14 @@ def p9_source_rates(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES = {
+    "p2_found": p2_found,
+    "p2_main_text": p2_main_text,
     "p4_found": p4_found,
     "p4_confidences": p4_confidences,
     "p5_found": p5_found,
     "p5_entities": p5_entities,
+    "p7_containers": p7_containers,
+    "p7_fill": p7_fill,
     "p8_found": p8_found,
     "p8_leak_lengths": p8_leak_lengths,
     "p9_found": p9_found,
