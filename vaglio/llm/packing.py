@@ -25,7 +25,7 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Hash buckets in which the items of one length are ranked.
 BUCKETS = 64
 #: Fixed value: the pre-tokenisation pattern that this vocabulary was made with.
-PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 def token_counts(documents: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:

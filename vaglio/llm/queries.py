@@ -4,10 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vaglio.llm import boilerplate, leakage, linkage, names, packing, toxicity
+from vaglio.llm import boilerplate, consensus, leakage, linkage, names, packing, toxicity
 from vaglio.session import table
 
 
+def _survivors(spark: SparkSession, root: str) -> DataFrame:
+    return consensus.survivors(table(spark, root, "grants"), table(spark, root, "sources"))
+
+
+def p1_found(spark: SparkSession, root: str) -> DataFrame:
+    return _survivors(spark, root).select("group_id", "field", "grant_id")
+
+
+def p1_groups(spark: SparkSession, root: str) -> DataFrame:
+    return consensus.groups(table(spark, root, "grants"))
+
+
 def p2_found(spark: SparkSession, root: str) -> DataFrame:
     return boilerplate.furniture_lines(table(spark, root, "cleaned_pages"))
 
@@ -65,6 +77,8 @@ def p9_source_rates(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES = {
+    "p1_found": p1_found,
+    "p1_groups": p1_groups,
     "p2_found": p2_found,
     "p2_main_text": p2_main_text,
     "p4_found": p4_found,
@@ -80,4 +94,11 @@ QUERIES = {
     "p9_source_rates": p9_source_rates,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "p1_groups": """
+WITH RECURSIVE e AS (
+  SELECT a.grant_id AS x, a.duplicate_of AS y FROM grants a JOIN grants b ON b.grant_id = a.duplicate_of WHERE a.grant_id <> a.duplicate_of),
+s AS (SELECT x, y FROM e UNION SELECT y, x FROM e),
+r(n, c) AS (SELECT x, x FROM s UNION SELECT s.x, r.c FROM r JOIN s ON s.y = r.n WHERE r.c < s.x)
+SELECT n AS grant_id, min(c) AS group_id FROM r GROUP BY n""",
+}
