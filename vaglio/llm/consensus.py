@@ -33,7 +33,7 @@ DEADLINE_TRUST = {1: 0.1, 2: 0.3, 3: 1.0, 4: 3.0, 5: 3.6}
 #: Days in which a vote falls to 1 / e, against the group's latest record.
 AGE, DEADLINE_AGE = 90.0, 25.0
 #: Share of the weight that does not abstain which a token needs: leaving out is the common fault, adding is not.
-PRESENT = {"description": 0.3, "requirements": 0.2, "deadline": 0.5}
+PRESENT = {"description": 0.2, "requirements": 0.2, "deadline": 0.5}
 #: What a value that breaks off, or a list that repeats itself, loses in closeness.
 BROKEN = 0.2
 #: Deadlines outside of this many days after the record was found count for nothing.
