@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vaglio.plans import pipeline_queries
+from vaglio.plans import oracles, pipeline_queries, reference_queries
 
-QUERIES = {**pipeline_queries.QUERIES}
-ORACLES = {**pipeline_queries.ORACLES}
+QUERIES = {**pipeline_queries.QUERIES, **reference_queries.QUERIES}
+ORACLES = {**pipeline_queries.ORACLES, **oracles.ORACLES}
