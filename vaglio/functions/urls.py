@@ -116,7 +116,7 @@ def canonical_url(url: Column, base: Column | None = None, base_parts: Column |
     def of(u: Column) -> Column:
         def known(p: Column) -> Column:
             against = let(strip(_joined(u, p, b)), lambda full: let(split_url(full), _canonical))
-            return F.when((p["scheme"] != "") | b.isNull() | (b["scheme"] == ""), _canonical(p)).otherwise(against)
+            return F.when((p["scheme"] != "") | (F.coalesce(b["scheme"], F.lit("")) == ""), _canonical(p)).otherwise(against)
 
         return let(split_url(u), known)
 
