@@ -73,10 +73,9 @@ def condense_html(spark: SparkSession, root: str) -> DataFrame:
 
 
 def link_candidates(spark: SparkSession, root: str) -> DataFrame:
-    """The links that each source's selector finds on list pages of its first run, built from that run's candidates."""
+    """The links that the selector finds on the list page of every run, built from that run's candidates."""
     s = table(spark, root, "sources")
-    runs = table(spark, root, "scan_runs").groupBy("source_id").agg(F.min("run_id").alias("run_id"))
-    c = table(spark, root, "candidates").join(F.broadcast(runs.select("run_id")), "run_id")
+    c = table(spark, root, "candidates")
     item = F.concat(F.lit('<li class="voce"><a href="'), _escape(F.col("url")), F.lit('">'), _escape(F.coalesce("title", F.lit(""))), F.lit("</a></li>"))
     page = c.groupBy("run_id", "source_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "candidate_id", item.alias("h")))), lambda x: x["h"]), "").alias("h"))
     built = page.join(_base(s), "source_id").select(F.col("run_id").cast("string").alias("list_id"), F.col("base").alias("base_url"), F.concat(F.lit('<ul class="esiti">'), "h", F.lit("</ul>")).alias("html"), F.lit("ul.esiti > li.voce").alias("selector"))
