@@ -148,9 +148,13 @@ def snapshot_upsert(spark: SparkSession, root: str) -> DataFrame:
 
 
 def grant_upsert(spark: SparkSession, root: str) -> DataFrame:
-    g = table(spark, root, "grants").select("url_hash", "source_id", "title", "found_at", "last_seen_at", "duplicate_of", "grant_id")
-    old = merge.latest(g.where("grant_id % 2 = 0"), ["url_hash"], ["last_seen_at", "grant_id"])
-    new = merge.latest(g.where("grant_id % 3 = 0"), ["url_hash"], ["last_seen_at", "grant_id"])
+    """Grants found before the newest run began, with what was found or seen again since merged in. A grant of unknown time, or any if there is no run, is old."""
+    began = table(spark, root, "scan_runs").agg(F.max("started_at").alias("began"))
+    g = table(spark, root, "grants").select("url_hash", "source_id", "title", "found_at", "last_seen_at", "duplicate_of", "grant_id").crossJoin(F.broadcast(began))
+    known = F.coalesce(F.col("found_at") < F.col("began"), F.lit(True))
+    seen = F.coalesce(F.col("last_seen_at") >= F.col("began"), F.lit(False))
+    old = merge.latest(g.where(known).drop("began"), ["url_hash"], ["last_seen_at", "grant_id"])
+    new = merge.latest(g.where(~known | seen).drop("began"), ["url_hash"], ["last_seen_at", "grant_id"])
     return merge.upsert(old, new, ["url_hash"], keep=("found_at",)).drop("grant_id")
 
 
