@@ -28,8 +28,6 @@ from vaglio.session import durable
 FUNCTIONS = ("theme", "audience", "issuer", "deadline", "amount", "year", "line", "label", "time", "place", "terms")
 #: Days of one time bucket; a register record is a candidate for its own bucket and the two beside it.
 BUCKET_DAYS = 60
-#: A stem in more than this share of the register's titles makes no blocking key.
-COMMON = 0.04
 #: Posterior from which a pair counts as found.
 FOUND = 0.5
 
@@ -179,17 +177,16 @@ def prepared(rows: DataFrame, number: str, when: str, place: str | None) -> Data
     return p.withColumn("stems", F.when(F.size(stems) > 0, stems).otherwise(F.array(F.lit("-"))))
 
 
-def _keys(side: DataFrame, spread: int, common: DataFrame) -> DataFrame:
+def _keys(side: DataFrame, spread: int) -> DataFrame:
     """id, key: the blocking keys of each row of side, which has a column aud; spread 1 repeats time-bound keys in the buckets beside.
 
-    Audience and rare theme stem with either half of the issuer's core and the time, with the deadline, and
+    Audience and theme stem with either half of the issuer's core and the time, with the deadline, and
     with the label; and audience and whole issuer with the deadline. A row whose time is unknown takes the
     time of its deadline, or bucket 0.
     """
     rows = side.withColumn("at", F.coalesce(F.floor(F.col("seen") / BUCKET_DAYS), F.floor((F.datediff("deadline", F.lit("1970-01-01").cast("date")) - 60) / BUCKET_DAYS), F.lit(0)).cast("long"))
     near = F.array(*[F.col("at") + k for k in range(-spread, spread + 1)])
     single = rows.select("id", "aud", "p", "deadline", near.alias("near"), F.explode("stems").alias("stem"))
-    single = single.join(F.broadcast(common), "stem", "left_anti")
     flat = F.replace(F.col("p.core"), F.lit(" "))
     named = F.length(flat) > 0
     timed = single.where(named).select("id", "aud", "stem", flat.alias("flat"), F.explode("near").alias("t"))
@@ -203,14 +200,13 @@ def _keys(side: DataFrame, spread: int, common: DataFrame) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, parts)
 
 
-def _nameless(side: DataFrame, spread: int, common: DataFrame) -> DataFrame:
+def _nameless(side: DataFrame, spread: int) -> DataFrame:
     """id, key of audience, theme stem, amount (within 5 %, either side of a step) and time."""
     at = F.coalesce(F.floor(F.col("seen") / BUCKET_DAYS), F.lit(0)).cast("long")
     step = F.log(F.col("amount")) / F.log(F.lit(1.1))
     return (
         side.where("amount IS NOT NULL")
         .select("id", "aud", F.explode("stems").alias("stem"), F.explode(F.array(*[at + k for k in range(-spread, spread + 1)])).alias("t"), step.alias("step"))
-        .join(F.broadcast(common), "stem", "left_anti")
         .select("id", "aud", "stem", "t", F.explode(F.array_distinct(F.array(F.floor("step"), F.floor(F.col("step") + 0.5)))).alias("s"))
         .select("id", F.xxhash64("aud", "stem", "t", "s").alias("key"))
     )
@@ -222,14 +218,11 @@ def candidates(left: DataFrame, right: DataFrame) -> DataFrame:
     Rows that name an audience meet those that name the same; a row that names none meets all, on keys
     without audience. Rows without issuer meet all on keys of the amount.
     """
-    total = right.count()
-    common = right.select(F.explode("stems").alias("stem")).groupBy("stem").count().where(F.col("count") > max(COMMON * total, 20)).select("stem")
-    common = durable(common)  # at most some hundred stems: each holds a share of COMMON of the titles
     silent = F.size("p.audience") == 0
     nameless = F.length("p.core") == 0
 
     def met(l: DataFrame, r: DataFrame, keys) -> DataFrame:
-        return keys(l, 0, common).withColumnRenamed("id", "a").join(keys(r, 1, common).withColumnRenamed("id", "b"), "key").select("a", "b")
+        return keys(l, 0).withColumnRenamed("id", "a").join(keys(r, 1).withColumnRenamed("id", "b"), "key").select("a", "b")
 
     said_l, said_r = left.withColumn("aud", F.explode("p.audience")), right.withColumn("aud", F.explode("p.audience"))
     any_l, any_r = left.withColumn("aud", F.lit("*")), right.withColumn("aud", F.lit("*"))
