@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from vaglio.llm import linkage
+from vaglio.llm import linkage, names
 
 D = dt.date(2026, 3, 31)
 
@@ -20,3 +20,11 @@ def test_pairs_whose_only_stems_are_common_are_candidates(spark):
     grants = [(1, "Avviso energia PMI", "Comune di Ravena", D, None, seen), (2, "Avviso energia per PMI", "Comune di Ravenna", None, None, seen), (3, "Energia PMI", None, D, 7777.0, seen), (4, None, "Provincia di Trento", None, None, seen)]
     found = {(r.a, r.b) for r in linkage.candidates(side(spark, grants), side(spark, register)).collect()}
     assert {(1, 100), (2, 100), (3, 101), (4, 102)} <= found
+
+
+def test_reordered_and_long_names_are_verified(spark):
+    spelt = ["Comune di Reggio Emilia", "Emilia Reggio (Comune)", "Comune di Castelvecchio Montefiorito Roccalumera", "Comune di Castelvecio Montefiorido Rocalunera", "Comune di Bari"]
+    rows = spark.createDataFrame(list(enumerate(spelt, 1)), "spelling_id bigint, issuer string")
+    forms = [names.parse_name(n) for n in spelt]
+    assert names.monge_elkan(forms[0][1], forms[1][1]) == 1 and names.monge_elkan(forms[2][1], forms[3][1]) >= names.VERIFIED
+    assert {(r.spelling_id_a, r.spelling_id_b) for r in names.same_entity_pairs(rows).collect()} == {(1, 2), (3, 4)}

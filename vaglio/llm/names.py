@@ -266,8 +266,7 @@ def _banded(forms: DataFrame) -> DataFrame:
     both = few.unionByName(many)
     left = both.select("key", F.col("form").alias("a"), F.col("core").alias("core_a"), F.col("given").alias("given_a"), F.col("closed").alias("closed_a"))
     right = both.select("key", F.col("form").alias("b"), F.col("core").alias("core_b"), F.col("given").alias("given_b"), F.col("closed").alias("closed_b"))
-    close = (F.levenshtein("closed_a", "closed_b", 4) >= 0) | (F.levenshtein("core_a", "core_b", 4) >= 0)
-    return left.join(right, "key").where((F.col("a") < F.col("b")) & close)
+    return left.join(right, "key").where(F.col("a") < F.col("b"))
 
 
 def links_of(forms: DataFrame, typed: DataFrame) -> DataFrame:
