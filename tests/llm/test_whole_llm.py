@@ -28,3 +28,11 @@ def test_reordered_and_long_names_are_verified(spark):
     forms = [names.parse_name(n) for n in spelt]
     assert names.monge_elkan(forms[0][1], forms[1][1]) == 1 and names.monge_elkan(forms[2][1], forms[3][1]) >= names.VERIFIED
     assert {(r.spelling_id_a, r.spelling_id_b) for r in names.same_entity_pairs(rows).collect()} == {(1, 2), (3, 4)}
+
+
+def test_star_clusters_follow_a_long_chain_to_its_end(spark):
+    n = 41
+    nodes = spark.createDataFrame([(k, n - k) for k in range(n)], "node bigint, rank int")
+    links = spark.createDataFrame([(k, k + 1, 0.9) for k in range(n - 1)], "a bigint, b bigint, similarity double")
+    got = {r.node: r.centre for r in names.star_clusters(nodes, links).collect()}
+    assert got == {k: k - k % 2 for k in range(n)}

@@ -39,6 +39,8 @@ SPLIT_BANDS = math.ceil(math.log(1 - RECALL) / math.log(1 - SIMILAR**SPLIT_ROWS)
 VERIFIED = 0.83
 #: A form joins a centre if the centre's core is in so many times as many spellings.
 SUPPORT = 4
+#: Rounds of the star clustering after which what was taken becomes one table again.
+FOLD = 16
 #: Letters of a core from which a slip or two cannot lead to another body's name.
 LONG = 14
 
@@ -300,11 +302,12 @@ def links_of(forms: DataFrame, typed: DataFrame) -> DataFrame:
     return verified.unionByName(acronyms).groupBy("a", "b").agg(F.max("similarity").alias("similarity"), F.max("loose").alias("loose"))
 
 
-def star_clusters(nodes: DataFrame, links: DataFrame, rounds: int = 12) -> DataFrame:
+def star_clusters(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """node, centre. nodes: node, rank (distinct, higher first); links: a, b, similarity.
 
     In each round the nodes that outrank all their open neighbours become centres and take those; links of
-    taken nodes are dropped. It ends when no link is left; the rounds beyond rounds leave nodes alone.
+    taken nodes are dropped. It ends when no link is left: the highest open node is a centre in each round,
+    and the rounds grow with the longest chain of falling rank.
     """
     ranked = nodes.select("node", "rank")
     both = links.select("a", "b", "similarity").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"), "similarity"))
@@ -312,9 +315,8 @@ def star_clusters(nodes: DataFrame, links: DataFrame, rounds: int = 12) -> DataF
         both.join(ranked.withColumnsRenamed({"node": "a", "rank": "ra"}), "a").join(ranked.withColumnsRenamed({"node": "b", "rank": "rb"}), "b")
     )
     taken = None
-    for _ in range(rounds):
-        if left.isEmpty():
-            break
+    rounds = 0
+    while not left.isEmpty():
         top = left.groupBy("a").agg(F.max("rb").alias("best"), F.first("ra").alias("ra")).where("ra > best").select(F.col("a").alias("centre"))
         got = (
             left.join(top, left["a"] == top["centre"])
@@ -324,6 +326,9 @@ def star_clusters(nodes: DataFrame, links: DataFrame, rounds: int = 12) -> DataF
         )
         got = durable(got)
         taken = got if taken is None else taken.unionByName(got)
+        rounds += 1
+        if rounds % FOLD == 0:
+            taken = durable(taken)
         gone = got.select("node").unionByName(got.select(F.col("centre").alias("node"))).distinct()
         left = durable(left.join(gone, left["a"] == gone["node"], "left_anti").join(gone, left["b"] == gone["node"], "left_anti"))
     if taken is None:
