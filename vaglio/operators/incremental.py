@@ -3,12 +3,14 @@
 Method: each run rereads its input from the oldest transaction that was open when the last successful
 run began (the low-water mark), so that nothing arriving late or left by a dead run is skipped; the
 overlap this reads again is removed by an anti-join of (key, version) pairs against a ledger of what
-has been processed. The ledger and the mark are committed together by one atomic rename, so a run that
-dies at any point leaves either the old state or the new one.
+has been processed, and rows older than what the ledger has of their page are left out. The ledger and
+the marks are committed together by one atomic rename, so a run that dies at any point leaves either
+the old state or the new one.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +20,10 @@ from vaglio.functions.text import content_hash
 from vaglio.functions.urls import canonical_url, split_url, truthy, url_hash
 
 
+#: Microseconds that a null time counts as.
+OLDEST = -(2**62)
+
+
 def low_water_mark(runs: DataFrame, last_ended: Column | None = None) -> DataFrame:
     """Per source, from which moment on the input must be read again.
 
@@ -67,17 +73,22 @@ def page_versions(candidates: DataFrame, sources: DataFrame) -> DataFrame:
     )
 
 
+def _age(c: str) -> Column:
+    """Microseconds of a time; a null is older than any other."""
+    return F.coalesce(F.unix_micros(F.col(c).cast("timestamp")), F.lit(OLDEST))
+
+
 def newest_version(versions: DataFrame) -> DataFrame:
-    """Per page the row with the newest fetched_at, on a tie the smallest candidate_id.
+    """Per page the row with the newest fetched_at (as fetched, in microseconds), on a tie the smallest candidate_id.
 
     One shuffle, combined on the map side: a page that holds a third of all rows arrives as one row
     a map task. A null fetched_at is older than any other.
     """
-    rank = F.struct(F.coalesce(F.unix_micros(F.col("fetched_at").cast("timestamp")), F.lit(-(2**62))).alias("t"), (-F.col("candidate_id")).alias("i"), F.col("version").alias("v"))
+    rank = F.struct(_age("fetched_at").alias("t"), (-F.col("candidate_id")).alias("i"), F.col("version").alias("v"))
     return (
         versions.groupBy("source_id", "page")
         .agg(F.max(rank).alias("best"))
-        .select((-F.col("best.i")).alias("candidate_id"), "source_id", "page", F.col("best.v").alias("version"))
+        .select((-F.col("best.i")).alias("candidate_id"), "source_id", "page", F.col("best.v").alias("version"), F.col("best.t").alias("fetched"))
     )
 
 
@@ -87,35 +98,52 @@ def ledger_state(snapshots: DataFrame) -> DataFrame:
         snapshots.where(F.col("url_hash").isNotNull() & F.col("source_id").isNotNull())
         .groupBy("source_id", F.unhex(F.lower("url_hash")).alias("page"))
         .agg(F.max(F.struct(F.unix_micros(F.col("last_seen_at").cast("timestamp")).alias("t"), F.unhex(F.lower("content_hash")).alias("v"))).alias("best"))
-        .select("source_id", "page", F.col("best.v").alias("version"))
+        .select("source_id", "page", F.col("best.v").alias("version"), F.coalesce("best.t", F.lit(OLDEST)).alias("fetched"))
     )
 
 
 def unprocessed(newest: DataFrame, ledger: DataFrame) -> DataFrame:
     """Newest versions whose (key, version) pair the ledger lacks; a null version matches nothing."""
-    return newest.join(ledger, ["source_id", "page", "version"], "left_anti")
+    return newest.join(ledger.select("source_id", "page", "version"), ["source_id", "page", "version"], "left_anti")
+
+
+def not_older(newest: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Rows of newest but those that are older than what the ledger has of their page; of equal times the greater candidate_id is older, where the ledger has one."""
+    k = ledger.select("source_id", "page", F.col("fetched").alias("_t"), (F.col("candidate_id") if "candidate_id" in ledger.columns else F.lit(None).cast("long")).alias("_c"))
+    older = (F.col("fetched") < F.col("_t")) | ((F.col("fetched") == F.col("_t")) & (F.col("candidate_id") > F.col("_c")))
+    return newest.join(k, ["source_id", "page"], "left").where(~F.coalesce(older, F.lit(False))).drop("_t", "_c")
+
+
+def since(candidates: DataFrame, marks: DataFrame) -> DataFrame:
+    """The candidates that arrived from their source's mark on, at an unknown time, or whose source has no mark."""
+    m = marks.select(F.col("source_id").alias("_m"), "reread_from")
+    return candidates.join(F.broadcast(m), F.col("source_id") == F.col("_m"), "left").where(
+        F.col("reread_from").isNull() | F.col("arrived_at").isNull() | (F.col("arrived_at") >= F.col("reread_from"))
+    )
 
 
 def pending_pages(candidates: DataFrame, sources: DataFrame, snapshots: DataFrame, marks: DataFrame | None = None) -> DataFrame:
     """The candidates to process now: the newest of each page where it differs from the newest snapshot.
 
     marks: low_water_mark() of an earlier committed run; rows that arrived before their source's mark
-    are not read. Without it (no run of ours has been committed) all rows are. Each page comes once.
+    are not read, and of the others those fetched before their page's newest snapshot was last seen are
+    late and left out. Without it (no run of ours has been committed) all rows are read. Each page comes once.
     Empty tables give an empty result; repeated rows and columns besides the named ones change nothing.
     """
-    if marks is not None:
-        m = marks.select(F.col("source_id").alias("_m"), "reread_from")
-        candidates = candidates.join(F.broadcast(m), F.col("source_id") == F.col("_m"), "left").where(
-            F.col("reread_from").isNull() | F.col("arrived_at").isNull() | (F.col("arrived_at") >= F.col("reread_from"))
-        )
-    return unprocessed(newest_version(page_versions(candidates, sources)), ledger_state(snapshots))
+    ledger = ledger_state(snapshots)
+    if marks is None:
+        newest = newest_version(page_versions(candidates, sources))
+    else:
+        newest = not_older(newest_version(page_versions(since(candidates, marks), sources)), ledger)
+    return unprocessed(newest, ledger).drop("fetched")
 
 
 class ChangeFeed:
     """Runs of pending_pages() with their own ledger, safe against a death at any point.
 
     State lies in a folder that all executors share: ledger/<epoch> (Parquet) and state.json, which
-    names the committed epoch. commit() writes the next epoch's ledger first and renames the new
+    names the committed epoch and its marks, one a source. The ledger has the newest row seen of each page:
+    a row that arrives late and is older is neither handled nor recorded. commit() writes the next epoch's ledger first and renames the new
     state.json over the old one last: what a run that died before that left is ignored and rewritten.
     """
 
@@ -125,6 +153,7 @@ class ChangeFeed:
         self._path = jvm.org.apache.hadoop.fs.Path
         self._context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._path(self.folder).toUri(), spark.sparkContext._jsc.hadoopConfiguration())
         self._fs = self._path(self.folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self._same: DataFrame | None = None
         self._overwrite = spark.sparkContext._jvm.org.apache.hadoop.fs.Options.Rename
 
     def state(self) -> dict:
@@ -134,31 +163,44 @@ class ChangeFeed:
         return json.loads(self.spark.read.text(str(at.toString())).first().value)
 
     def ledger(self) -> DataFrame:
-        """source_id, page, version of all that was processed."""
+        """source_id, page, version, candidate_id and fetched (microseconds) of the newest row of all pages that were processed."""
         epoch = self.state()["epoch"]
-        schema = "source_id STRING, page BINARY, version BINARY"
+        schema = "source_id STRING, page BINARY, version BINARY, candidate_id BIGINT, fetched BIGINT"
         if not epoch:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(f"{self.folder}/ledger/{epoch}")
 
+    def marks(self) -> DataFrame:
+        """source_id, reread_from of the last commit that was given marks."""
+        rows = [(s, dt.datetime.fromisoformat(at)) for s, at in self.state().get("marks", {}).items()]
+        return self.spark.createDataFrame(rows, "source_id STRING, reread_from TIMESTAMP_NTZ")
+
     def pending(self, candidates: DataFrame, sources: DataFrame, marks: DataFrame | None = None) -> DataFrame:
-        """As pending_pages(), against this feed's ledger; marks are used only once a run is committed."""
-        if marks is not None and self.state()["epoch"]:
-            m = marks.select(F.col("source_id").alias("_m"), "reread_from")
-            candidates = candidates.join(F.broadcast(m), F.col("source_id") == F.col("_m"), "left").where(
-                F.col("reread_from").isNull() | F.col("arrived_at").isNull() | (F.col("arrived_at") >= F.col("reread_from"))
-            )
-        return unprocessed(newest_version(page_versions(candidates, sources)), self.ledger())
-
-    def commit(self, done: DataFrame) -> int:
-        """Record done (source_id, page, version) as processed; returns the new epoch."""
-        epoch = self.state()["epoch"] + 1
-        done = done.select("source_id", "page", "version")
-        kept = self.ledger().join(done.select("source_id", "page").distinct(), ["source_id", "page"], "left_anti")
-        kept.unionByName(done.dropDuplicates(["source_id", "page"])).write.mode("overwrite").parquet(f"{self.folder}/ledger/{epoch}")
+        """As pending_pages(), against this feed's ledger, with fetched; the committed marks hold unless others are given, and any only once a run is committed."""
+        state = self.state()
+        if state["epoch"] and (marks is not None or state.get("marks")):
+            candidates = since(candidates, self.marks() if marks is None else marks)
+        ledger = self.ledger()
+        newest = not_older(newest_version(page_versions(candidates, sources)), ledger)
+        # a newer row of the same version is not handled again, but its time is recorded
+        self._same = newest.join(ledger.select("source_id", "page", "version"), ["source_id", "page", "version"], "left_semi")
+        return unprocessed(newest, ledger)
+
+    def commit(self, done: DataFrame, marks: DataFrame | None = None) -> int:
+        """Record done (rows of the last pending()) as processed, and the marks of the run, as low_water_mark() gives them; returns the new epoch."""
+        state = self.state()
+        epoch = state["epoch"] + 1
+        columns = ["source_id", "page", "version", "candidate_id", "fetched"]
+        seen = done.select(columns).dropDuplicates(["source_id", "page"])
+        if self._same is not None:
+            seen = seen.unionByName(self._same.select(columns).join(seen.select("source_id", "page"), ["source_id", "page"], "left_anti"))
+        kept = self.ledger().join(seen.select("source_id", "page"), ["source_id", "page"], "left_anti")
+        kept.unionByName(seen).write.mode("overwrite").parquet(f"{self.folder}/ledger/{epoch}")
+        self._same = None
+        kept_marks = state.get("marks", {}) if marks is None else {r.source_id: r.at for r in marks.where("reread_from IS NOT NULL").select("source_id", F.col("reread_from").cast("timestamp_ntz").cast("string").alias("at")).collect()}
         new = self._path(f"{self.folder}/state.json.new")
         out = self._fs.create(new, True)
-        out.write(bytearray(json.dumps({"epoch": epoch}).encode()))
+        out.write(bytearray(json.dumps({"epoch": epoch, "marks": kept_marks}).encode()))
         out.close()
         rename = self.spark.sparkContext._gateway.new_array(self._overwrite, 1)
         rename[0] = self._overwrite.OVERWRITE
