@@ -1,6 +1,10 @@
 """What no filter, cap or round limit of the llm operators may leave out."""
 
 import datetime as dt
+import itertools
+import random
+
+import pandas as pd
 
 from vaglio.llm import linkage, names
 
@@ -36,3 +40,19 @@ def test_star_clusters_follow_a_long_chain_to_its_end(spark):
     links = spark.createDataFrame([(k, k + 1, 0.9) for k in range(n - 1)], "a bigint, b bigint, similarity double")
     got = {r.node: r.centre for r in names.star_clusters(nodes, links).collect()}
     assert got == {k: k - k % 2 for k in range(n)}
+
+
+def test_every_pair_of_a_large_bucket_is_compared(spark):
+    random.seed(3)
+    cores = sorted({"consorziovalle" + "".join(random.choices("bcdfgklmnprtvz", k=9)) for _ in range(800)})
+    frame = spark.createDataFrame([(k, "other", c, "", c) for k, c in enumerate(cores)], "form bigint, kind string, core string, given string, closed string")
+    signed = names._signature(names.BANDS * names.ROWS).func(pd.Series(cores))
+    buckets, want = {}, set()
+    for k, s in enumerate(signed):
+        for band in range(names.BANDS):
+            buckets.setdefault((band, *s[band * names.ROWS : (band + 1) * names.ROWS]), []).append(k)
+    assert max(map(len, buckets.values())) > 400
+    for bucket in buckets.values():
+        want.update(itertools.combinations(bucket, 2))
+    got = names._banded(frame).select("a", "b").distinct()
+    assert {(r.a, r.b) for r in got.collect()} == want

@@ -31,10 +31,6 @@ SIMILAR = 0.45
 RECALL = 0.98
 #: Bands, from the collision curve 1 - (1 - s^r)^b.
 BANDS = math.ceil(math.log(1 - RECALL) / math.log(1 - SIMILAR**ROWS))
-#: Forms in one band's bucket beyond which the bucket is banded again by SPLIT_ROWS more hashes.
-BUCKET = 400
-SPLIT_ROWS = 3
-SPLIT_BANDS = math.ceil(math.log(1 - RECALL) / math.log(1 - SIMILAR**SPLIT_ROWS))
 #: Monge-Elkan similarity of two forms of one entity.
 VERIFIED = 0.83
 #: A form joins a centre if the centre's core is in so many times as many spellings.
@@ -256,18 +252,11 @@ def forms_of(spellings: DataFrame) -> DataFrame:
 
 def _banded(forms: DataFrame) -> DataFrame:
     """Pairs of forms that collide in a band, smaller number first, with possible repeats."""
-    hashes = BANDS * ROWS + SPLIT_BANDS * SPLIT_ROWS
-    signed = forms.withColumn("s", _signature(hashes)("closed"))
+    signed = forms.withColumn("s", _signature(BANDS * ROWS)("closed"))
     bands = F.array(*[F.xxhash64("kind", F.lit(k), *[F.col("s")[k * ROWS + j] for j in range(ROWS)]) for k in range(BANDS)])
-    keyed = signed.select("form", "closed", "core", "given", F.slice("s", BANDS * ROWS + 1, SPLIT_BANDS * SPLIT_ROWS).alias("more"), F.explode(bands).alias("key"))
-    size = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    sized = keyed.join(size, "key")
-    again = F.array(*[F.xxhash64("key", F.lit(k), *[F.col("more")[k * SPLIT_ROWS + j] for j in range(SPLIT_ROWS)]) for k in range(SPLIT_BANDS)])
-    few = sized.where(F.col("n") <= BUCKET).select("key", "form", "core", "given", "closed")
-    many = sized.where(F.col("n") > BUCKET).select(F.explode(again).alias("key"), "form", "core", "given", "closed")
-    both = few.unionByName(many)
-    left = both.select("key", F.col("form").alias("a"), F.col("core").alias("core_a"), F.col("given").alias("given_a"), F.col("closed").alias("closed_a"))
-    right = both.select("key", F.col("form").alias("b"), F.col("core").alias("core_b"), F.col("given").alias("given_b"), F.col("closed").alias("closed_b"))
+    keyed = signed.select("form", "closed", "core", "given", F.explode(bands).alias("key"))
+    left = keyed.select("key", F.col("form").alias("a"), F.col("core").alias("core_a"), F.col("given").alias("given_a"), F.col("closed").alias("closed_a"))
+    right = keyed.select("key", F.col("form").alias("b"), F.col("core").alias("core_b"), F.col("given").alias("given_b"), F.col("closed").alias("closed_b"))
     return left.join(right, "key").where(F.col("a") < F.col("b"))
 
 
