@@ -56,3 +56,10 @@ def test_every_pair_of_a_large_bucket_is_compared(spark):
         want.update(itertools.combinations(bucket, 2))
     got = names._banded(frame).select("a", "b").distinct()
     assert {(r.a, r.b) for r in got.collect()} == want
+
+
+def test_rows_without_issuer_and_audience_meet_on_the_amount(spark):
+    seen = dt.date(2026, 1, 10)
+    grants = [(1, "Bando energia", None, None, 5000.0, seen), (2, "Bando turismo", "Comune di Bari", None, 900.0, seen), (3, "Bando musei PMI", None, None, 70.0, seen), (4, "Bando olivi", None, None, None, seen)]
+    register = [(11, "Energia PMI", "Comune di Ravenna", None, 5010.0, seen), (12, "Turismo PMI", None, None, 900.0, seen), (13, "Musei", "Comune di Trento", None, 70.0, seen), (14, "Energia PMI", "Comune di Ravenna", None, 9000.0, seen)]
+    assert {(r.a, r.b) for r in linkage.candidates(side(spark, grants), side(spark, register)).collect()} == {(1, 11), (2, 12), (3, 13)}

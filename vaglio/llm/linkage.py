@@ -228,6 +228,8 @@ def candidates(left: DataFrame, right: DataFrame) -> DataFrame:
     any_l, any_r = left.withColumn("aud", F.lit("*")), right.withColumn("aud", F.lit("*"))
     parts = [met(said_l, said_r, _keys), met(any_l.where(silent), any_r, _keys), met(any_l, any_r.where(silent), _keys)]
     parts += [met(said_l.where(nameless), said_r, _nameless), met(said_l, said_r.where(nameless), _nameless)]
+    parts += [met(any_l.where(silent & nameless), any_r, _nameless), met(any_l.where(silent), any_r.where(nameless), _nameless)]
+    parts += [met(any_l.where(nameless), any_r.where(silent), _nameless), met(any_l, any_r.where(silent & nameless), _nameless)]
     return functools.reduce(DataFrame.unionByName, parts).distinct()
 
 
