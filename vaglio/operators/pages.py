@@ -22,13 +22,16 @@ LADDER_ATTEMPTS = 10
 
 
 def fingerprints(pages: DataFrame) -> DataFrame:
-    """page_id, platform, fingerprint. pages: page_id, html. The shape is the eight commonest stable class names."""
-    named = pages.select("page_id", platform(F.col("html")).alias("platform"), F.filter(classes(F.col("html")), stable_class).alias("c"))
-    counted = named.select("page_id", F.explode("c").alias("c")).groupBy("page_id", "c").count()
-    top = counted.withColumn("k", F.row_number().over(W.partitionBy("page_id").orderBy(F.desc("count"), "c"))).where(F.col("k") <= SHAPE_CLASSES)
-    shape = top.groupBy("page_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "c"))), lambda x: x["c"]), ",").alias("shape"))
-    digest = F.substring(F.sha2(F.coalesce("shape", F.lit("")), 256), 1, 12)
-    return named.join(shape, "page_id", "left").select("page_id", "platform", F.concat("platform", F.lit(":"), digest).alias("fingerprint"))
+    """page_id, platform, fingerprint. pages: page_id, html. The shape is the eight commonest stable class names.
+
+    All counting is within a row: one projection, no shuffle. A null page is of no known platform and has no classes.
+    """
+    named = pages.select("page_id", platform(F.col("html")).alias("platform"), F.filter(F.coalesce(classes(F.col("html")), F.array().cast("array<string>")), stable_class).alias("c"))
+    # (-count, name) in order: the commonest first, names of one count by the alphabet
+    counted = F.transform(F.array_distinct("c"), lambda x: F.struct((-F.size(F.filter("c", lambda y: y == x))).alias("n"), x.alias("c")))
+    top = F.slice(F.array_sort(counted), 1, SHAPE_CLASSES)
+    digest = F.substring(F.sha2(F.array_join(F.transform(top, lambda x: x["c"]), ","), 256), 1, 12)
+    return named.select("page_id", "platform", F.concat("platform", F.lit(":"), digest).alias("fingerprint"))
 
 
 def next_links(pages: DataFrame) -> DataFrame:
@@ -40,13 +43,12 @@ def next_links(pages: DataFrame) -> DataFrame:
             for url, html in batch[["url", "html"]].itertuples(index=False):
                 tree, nodes = select(html or "", 'a[rel~="next"],link[rel~="next"]')
                 found = [(0, k) for k in nodes]
-                for k in range(1, len(tree.tag)):
-                    if tree.tag[k] == "a":
-                        a = tree.attributes[k]
-                        said = ("".join(t.strip() for t in tree.text[k]) or a.get("aria-label") or a.get("title") or "").lower()
-                        href = a.get("href") or ""
-                        if said and any(m in said for m in NEXT) and href and not href.startswith(("#", "javascript:")):
-                            found.append((1, k))
+                for k in tree.anchors:
+                    a = tree.attributes[k]
+                    said = (tree.text(k) or a.get("aria-label") or a.get("title") or "").lower()
+                    href = a.get("href") or ""
+                    if said and any(m in said for m in NEXT) and href and not href.startswith(("#", "javascript:")):
+                        found.append((1, k))
                 rows += [(url, i, kind, tree.attributes[k].get("href")) for i, (kind, k) in enumerate(found) if tree.attributes[k].get("href")]
             yield pd.DataFrame(rows, columns=["url", "pos", "kind", "href"])
 
