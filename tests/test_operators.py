@@ -66,9 +66,14 @@ def test_change_feed_survives_a_death_before_commit(spark, tmp_path):
 
 def test_low_water_mark_is_the_oldest_open_run(spark):
     d = dt.timedelta(1)
-    runs = [("s", T, T + d / 4, "ok"), ("s", T + d, None, "error"), ("s", T + 2 * d, T + 2.2 * d, "ok"), ("n", T, T, "error"), (None, T, T, "ok")]
+    runs = [
+        ("s", T, T + d / 4, "ok"), ("s", T + d, None, "error"), ("s", T + 2 * d, T + 2.2 * d, "ok"),  # the failed run is covered by the success after it
+        ("o", T, T + 3 * d, "ok"), ("o", T + d, T + 1.2 * d, "ok"), ("o", T + 2 * d, T + 2.1 * d, "error"),  # one still open when the last began to read, one failed since
+        ("r", T, None, "ok"), ("r", T + d, T + 1.2 * d, "ok"),  # begun, not ended and not failed
+        ("n", T, T, "error"), (None, T, T, "ok"), ("s", None, T, "ok"),
+    ]
     got = {r.source_id: (r.reread_from, r.open_runs) for r in incremental.low_water_mark(spark.createDataFrame(runs, "source_id string, started_at timestamp_ntz, finished_at timestamp_ntz, status string")).collect()}
-    assert got == {"s": (T + d, 1), "n": (None, 0)}
+    assert got == {"s": (T + 2 * d, 0), "o": (T, 2), "r": (T, 1), "n": (None, 0)}
 
 
 AMOUNTS = {

@@ -31,7 +31,7 @@ def test_a_late_older_row_is_not_taken_for_the_newest(spark, tmp_path):
     feed = incremental.ChangeFeed(spark, f"file://{tmp_path}/feed")
     first = [(1, "s", "/p", "new", T + 5 * H, T + 5 * H), (2, "s", "/q", "a", T, T), (6, "s", "/r", "x", T + 2 * H, T + 2 * H), (7, "z", "/p", "y", T, T)]
     feed.commit(feed.pending(rows(spark, first), sources(spark)), marks(spark, s=T + 6 * H, z=None))
-    assert feed.state() == {"epoch": 1, "marks": {"s": "2026-05-01 12:00:00"}}
+    assert feed.state() == {"epoch": 1, "epochs": [1], "marks": {"s": "2026-05-01 12:00:00"}}
     # arrived after the mark: an older version of p, a newer one of q, q's again, and one as old as r's with a greater number
     late = [(3, "s", "/p", "old", T + H, T + 8 * H), (4, "s", "/q", "b", T + 7 * H, T + 7 * H), (8, "s", "/r", "w", T + 2 * H, T + 9 * H), (9, "z", "/p", "z", T + H, T + H)]
     again = incremental.ChangeFeed(spark, f"file://{tmp_path}/feed")

@@ -1,7 +1,7 @@
 """URL expressions: repair, reference resolution, canonical form, hash.
 
 All are column expressions in whole-stage codegen. A URL is split with the generic pattern of RFC 3986.
-Dot segments, which SQL expressions cannot fold without iterating, go through a fixed number of rewrites.
+Dot segments are folded over the array of a path's segments, however deep they are.
 """
 
 from __future__ import annotations
@@ -17,10 +17,6 @@ TRACKING = ("utm_source", "utm_medium", "utm_campaign", "utm_term", "utm_content
 #: Fixed value: the pattern of RFC 3986, appendix B.
 PARTS = r"^(?:([a-zA-Z][a-zA-Z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(?s:.*))?$"
 
-#: Passes over "segment/../" in a resolved path; deeper ones stay as they are.
-DOT_PASSES = 8
-
-
 def part(url: Column, n: int) -> Column:
     """Group n of the URL: 1 scheme, 2 authority, 3 path, 4 query. Empty where absent."""
     return F.regexp_extract(url, PARTS, n)
@@ -48,11 +44,13 @@ def repair_url(url: Column) -> Column:
 
 
 def _fold_dots(p: Column) -> Column:
-    p = F.regexp_replace(p, r"/\.(?=/)", "")
-    p = F.regexp_replace(p, r"/\.$", "/")
-    for _ in range(DOT_PASSES):
-        p = F.regexp_replace(p, r"/(?!\.\.(?:/|$))[^/]+/\.\.(?=/|$)", "")
-    return F.regexp_replace(p, r"^(?:/\.\.)+(?=/|$)", "")
+    """An absolute path without dot segments; those that lead above the root are dropped."""
+    parts = F.slice(F.split(p, "/"), 2, F.size(F.split(p, "/")))
+    empty = F.array().cast("array<string>")
+    step = lambda kept, x: F.when(x == "..", F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0)))).when(x == ".", kept).otherwise(F.concat(kept, F.array(x)))
+    # a dot segment at the end leaves its folder, with the slash
+    closed = F.when(F.element_at(parts, -1).isin(".", ".."), F.concat(parts, F.array(F.lit("")))).otherwise(parts)
+    return F.concat(F.lit("/"), F.array_join(F.aggregate(closed, empty, step), "/"))
 
 
 def split_url(url: Column) -> Column:

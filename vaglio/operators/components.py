@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from vaglio.session import durable
 
 
-def connected_components(links: DataFrame, most: int = 60) -> DataFrame:
+def connected_components(links: DataFrame) -> DataFrame:
     """node, component (its smallest node) of every node that a link names. links: a, b BIGINT.
 
     Each round links every node's greater neighbours to its smallest neighbour, then its smaller ones,
@@ -19,7 +19,7 @@ def connected_components(links: DataFrame, most: int = 60) -> DataFrame:
     edges = durable(links.where("a IS NOT NULL AND b IS NOT NULL AND a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     nodes = edges
     before = None
-    for _ in range(most):
+    while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("m"))
         large = both.where("b > a").join(least, F.col("a") == F.col("node")).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()

@@ -2,12 +2,16 @@
 
 Indel similarity of sorted words at a threshold t bounds the number of edits, and with it how many
 bigrams two titles may fail to share. Each title is indexed by a prefix of its bigrams that is long enough
-for the bound, in an order fixed by hash; titles that share none of them cannot reach the threshold, so
-no pair is lost and no month is paired in full. Equal titles are compared once.
+for the bound, the rarest first; titles that share none of them cannot reach the threshold, so no pair is
+lost and no month is paired in full. Any order serves that is the same for all titles, so it is enough to
+count the most frequent bigrams (FREQUENT of them, whatever the data) and to call all others rare. Shared
+bigrams must also lie within the bound of each other. Equal titles are compared once.
 """
 
 from __future__ import annotations
 
+import math
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +21,9 @@ from vaglio.functions.distance import indel_ratio
 from vaglio.functions.values import normalise_title, sorted_words
 
 THRESHOLD = 90
+#: Bigrams whose frequency is told apart.
+FREQUENT = 4096
+PREFIX = "ARRAY<STRUCT<g: STRING, first: INT, last: INT>>"
 
 
 @F.pandas_udf(T.DoubleType())
@@ -24,23 +31,49 @@ def _ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([indel_ratio(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
+def bigrams(text: str) -> dict[str, tuple[int, int]]:
+    """First and last place of each bigram of a text; a text of one character is its own."""
+    out: dict[str, tuple[int, int]] = {}
+    for i in range(max(1, len(text) - 1)):
+        g = text[i : i + 2]
+        out[g] = (out[g][0] if g in out else i, i)
+    return out
+
+
+def most_edits(length: int, threshold: int) -> int:
+    """Edits that a text of this length can be from another one at the threshold, at most."""
+    t = threshold / 100.0
+    return int((1 - t) * (length + math.ceil(length * ((2 - t) / t))) + 1e-6)
+
+
 def like_titles(left: DataFrame, right: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """month, a, b, score of all texts a (left) and b (right) of one month with a ratio of threshold or more.
 
     left, right: month, text; distinct, non-empty.
     """
+    spark = right.sparkSession
+    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("text") - 1)), lambda i: F.substring(F.col("text"), i, F.lit(2))))
+    often = right.select(F.explode(grams).alias("g")).groupBy("g").count().orderBy(F.desc("count"), "g").limit(FREQUENT).collect()
+    sent = spark.sparkContext.broadcast({r.g: k for k, r in enumerate(reversed(often), 1)})
+
+    @F.pandas_udf(PREFIX)
+    def prefix(texts: pd.Series) -> pd.Series:
+        rank = sent.value
+        out = []
+        for text in texts:
+            held = bigrams(text)
+            # each edit spoils two bigrams at most, so all but two an edit are shared and the rarest shared one lies in this prefix
+            chosen = sorted(held, key=lambda g: (rank.get(g, 0), g))[: 2 * most_edits(len(text), threshold) + 1]
+            out.append([{"g": g, "first": held[g][0], "last": held[g][1]} for g in chosen])
+        return pd.Series(out)
+
     def index(side: DataFrame, name: str) -> DataFrame:
-        length = F.length("text")
-        # d edits at most: d <= (1 - t) * (la + lb), and lb <= la * t' with t' = (2 - t) / t
-        t = threshold / 100.0
-        edits = F.floor((100 - threshold) / 100.0 * (length + F.ceil(length * ((2 - t) / t))) + 1e-6).cast("int")
-        grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), length - 1)), lambda i: F.substring(F.col("text"), i, F.lit(2))))
-        ordered = F.array_sort(F.transform(grams, lambda g: F.struct(F.xxhash64(g).alias("h"), g.alias("g"))))
-        # each edit spoils two bigrams at most, so all but two an edit are shared and the first shared one lies in this prefix
-        return side.select("month", F.col("text").alias(name), F.explode(F.slice(ordered, F.lit(1), 2 * edits + 1)).alias("x")).select("month", name, F.col("x.h").alias("h"))
+        return side.select("month", F.col("text").alias(name), F.explode(prefix("text")).alias(f"x{name}")).select("month", name, F.col(f"x{name}.g").alias("g"), F.col(f"x{name}.first").alias(f"first_{name}"), F.col(f"x{name}.last").alias(f"last_{name}"))
 
     near = (F.length("a") <= F.length("b") * ((200 - threshold) / threshold)) & (F.length("b") <= F.length("a") * ((200 - threshold) / threshold))
-    pairs = index(left, "a").join(index(right, "b"), ["month", "h"]).where(near).select("month", "a", "b").distinct()
+    edits = F.floor((100 - threshold) / 100.0 * (F.length("a") + F.length("b")) + 1e-6)
+    beside = (F.col("first_a") - edits <= F.col("last_b")) & (F.col("first_b") - edits <= F.col("last_a"))
+    pairs = index(left, "a").join(index(right, "b"), ["month", "g"]).where(near & beside).select("month", "a", "b").distinct()
     return pairs.withColumn("score", F.when(F.col("a") == F.col("b"), F.lit(100.0)).otherwise(_ratio("a", "b"))).where(F.col("score") >= threshold)
 
 

@@ -92,6 +92,6 @@ def verdicts(judgement: DataFrame) -> DataFrame:
 
 
 def accepted(judgement: DataFrame) -> DataFrame:
-    """The kept candidates of lists whose count is plausible."""
-    n = F.count("*").over(W.partitionBy("list_id"))
-    return judgement.where("reason = 'kept'").withColumn("n", n).where(F.col("n").between(FEWEST, MOST)).drop("n", "reason", "prefix")
+    """The kept candidates of lists whose count is plausible. The counts are combined on the map side and joined back."""
+    plausible = judgement.where("reason = 'kept'").groupBy("list_id").agg(F.count("*").alias("n")).where(F.col("n").between(FEWEST, MOST)).select("list_id")
+    return judgement.where("reason = 'kept'").join(plausible, "list_id", "left_semi").drop("reason", "prefix")

@@ -18,35 +18,36 @@ from pyspark.sql import functions as F
 
 from vaglio.functions.text import content_hash
 from vaglio.functions.urls import canonical_url, split_url, truthy, url_hash
+from vaglio.session import small_side
 
 
 #: Microseconds that a null time counts as.
 OLDEST = -(2**62)
 
 
-def low_water_mark(runs: DataFrame, last_ended: Column | None = None) -> DataFrame:
+def low_water_mark(runs: DataFrame) -> DataFrame:
     """Per source, from which moment on the input must be read again.
 
-    runs: source_id, started_at, finished_at, status. A transaction is open at the end of the last
-    successful run of its source if it had begun by then and had no end, or ended later; a failed
-    run counts as open, since it may have handled a part only. The mark is the earliest start of an
-    open one, else the start of the last successful run; null (read all) for a source that never
-    had a success. Ties do not matter, rows without source or start are left out.
+    runs: source_id, started_at, finished_at, status. The last successful run of a source read all that had arrived
+    when it began, from the mark that held then. What it cannot have seen was written by transactions open at that
+    moment: runs that had begun and ended after it, or have not ended and did not fail. The mark is the earliest
+    start of these, else the start of the last successful run itself, so that it also goes back behind all runs that
+    failed since; runs that failed before are covered by it and hold nothing back. Null (read all) for a
+    source that never had a success. open_runs counts the open ones and those that failed since. Ties do
+    not matter, rows without source or start are left out.
     """
     runs = runs.where(F.col("source_id").isNotNull() & F.col("started_at").isNotNull())
-    good = (F.col("status") == "ok") & F.col("finished_at").isNotNull()
-    last = runs.groupBy("source_id").agg(
-        F.max(F.when(good, F.col("finished_at"))).alias("last_end"),
-        F.max(F.when(good, F.col("started_at"))).alias("last_start"),
-    )
-    open_ = (F.col("started_at") <= F.col("last_end")) & (~F.coalesce(good, F.lit(False)) | (F.col("finished_at") > F.col("last_end")))
+    good = F.coalesce((F.col("status") == "ok") & F.col("finished_at").isNotNull(), F.lit(False))
+    last = runs.where(good).groupBy("source_id").agg(F.max(F.struct("started_at", "finished_at")).alias("l")).select("source_id", F.col("l.started_at").alias("last_start"), F.col("l.finished_at").alias("last_end"))
+    open_ = (F.col("started_at") < F.col("last_start")) & F.coalesce(F.col("finished_at") > F.col("last_start"), ~F.coalesce(F.col("status") == "error", F.lit(False)))
+    since = (F.col("started_at") >= F.col("last_start")) & ~good
     return (
-        runs.join(last, "source_id")
+        runs.join(last, "source_id", "left")
         .groupBy("source_id")
         .agg(
             F.first("last_end").alias("last_end"),
-            F.least(F.min(F.when(open_, F.col("started_at"))), F.first("last_start")).alias("reread_from"),
-            F.count_if(open_).alias("open_runs"),
+            F.coalesce(F.min(F.when(open_, F.col("started_at"))), F.first("last_start")).alias("reread_from"),
+            F.count_if(F.coalesce(open_ | since, F.lit(False))).alias("open_runs"),
         )
     )
 
@@ -117,7 +118,7 @@ def not_older(newest: DataFrame, ledger: DataFrame) -> DataFrame:
 def since(candidates: DataFrame, marks: DataFrame) -> DataFrame:
     """The candidates that arrived from their source's mark on, at an unknown time, or whose source has no mark."""
     m = marks.select(F.col("source_id").alias("_m"), "reread_from")
-    return candidates.join(F.broadcast(m), F.col("source_id") == F.col("_m"), "left").where(
+    return candidates.join(small_side(m)[0], F.col("source_id") == F.col("_m"), "left").where(
         F.col("reread_from").isNull() | F.col("arrived_at").isNull() | (F.col("arrived_at") >= F.col("reread_from"))
     )
 
@@ -141,12 +142,16 @@ def pending_pages(candidates: DataFrame, sources: DataFrame, snapshots: DataFram
 class ChangeFeed:
     """Runs of pending_pages() with their own ledger, safe against a death at any point.
 
-    State lies in a folder that all executors share: ledger/<epoch> (Parquet) and state.json, which
-    names the committed epoch and its marks, one a source. The ledger has the newest row seen of each page:
-    a row that arrives late and is older is neither handled nor recorded. commit() writes the next epoch's ledger first and renames the new
-    state.json over the old one last: what a run that died before that left is ignored and rewritten.
+    State lies in a folder that all executors share: ledger/<epoch> (Parquet) and state.json, which names the
+    committed epoch, the epochs that make up the ledger, and the marks, one a source. Each epoch holds only the pages
+    of its run, so that a commit costs what the run handled; every COMPACT epochs they are written as one. The newest
+    row of a page holds: a row that arrives late and is older is neither handled nor recorded. commit() writes the
+    epoch first and renames the new state.json over the old one last: what a run that died before that left is
+    ignored and rewritten.
     """
 
+    COMPACT = 16
+
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
         jvm = spark.sparkContext._jvm
@@ -164,11 +169,15 @@ class ChangeFeed:
 
     def ledger(self) -> DataFrame:
         """source_id, page, version, candidate_id and fetched (microseconds) of the newest row of all pages that were processed."""
-        epoch = self.state()["epoch"]
+        state = self.state()
         schema = "source_id STRING, page BINARY, version BINARY, candidate_id BIGINT, fetched BIGINT"
-        if not epoch:
+        if not state["epoch"]:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.folder}/ledger/{epoch}")
+        rows = self.spark.read.schema(schema).parquet(*[f"{self.folder}/ledger/{e}" for e in state["epochs"]])
+        if len(state["epochs"]) == 1:
+            return rows
+        rank = F.struct("fetched", (-F.col("candidate_id")).alias("i"), "version")
+        return rows.groupBy("source_id", "page").agg(F.max(rank).alias("m")).select("source_id", "page", "m.version", (-F.col("m.i")).alias("candidate_id"), "m.fetched")
 
     def marks(self) -> DataFrame:
         """source_id, reread_from of the last commit that was given marks."""
@@ -194,15 +203,21 @@ class ChangeFeed:
         seen = done.select(columns).dropDuplicates(["source_id", "page"])
         if self._same is not None:
             seen = seen.unionByName(self._same.select(columns).join(seen.select("source_id", "page"), ["source_id", "page"], "left_anti"))
-        kept = self.ledger().join(seen.select("source_id", "page"), ["source_id", "page"], "left_anti")
-        kept.unionByName(seen).write.mode("overwrite").parquet(f"{self.folder}/ledger/{epoch}")
+        epochs = [*state.get("epochs", []), epoch]
+        gone: list[int] = []
+        if len(epochs) > self.COMPACT:
+            kept = self.ledger().join(seen.select("source_id", "page"), ["source_id", "page"], "left_anti")
+            seen, gone, epochs = kept.unionByName(seen), epochs[:-1], [epoch]
+        seen.write.mode("overwrite").parquet(f"{self.folder}/ledger/{epoch}")
         self._same = None
         kept_marks = state.get("marks", {}) if marks is None else {r.source_id: r.at for r in marks.where("reread_from IS NOT NULL").select("source_id", F.col("reread_from").cast("timestamp_ntz").cast("string").alias("at")).collect()}
         new = self._path(f"{self.folder}/state.json.new")
         out = self._fs.create(new, True)
-        out.write(bytearray(json.dumps({"epoch": epoch, "marks": kept_marks}).encode()))
+        out.write(bytearray(json.dumps({"epoch": epoch, "epochs": epochs, "marks": kept_marks}).encode()))
         out.close()
         rename = self.spark.sparkContext._gateway.new_array(self._overwrite, 1)
         rename[0] = self._overwrite.OVERWRITE
         self._context.rename(new, self._path(f"{self.folder}/state.json"), rename)
+        for e in gone:  # no state names them any more
+            self._fs.delete(self._path(f"{self.folder}/ledger/{e}"), True)
         return epoch

@@ -30,12 +30,32 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str], keep: tuple[str, ...
 
 
 def track_record(pool: DataFrame, worked: DataFrame, failed: DataFrame) -> DataFrame:
-    """The pool of strategies with credits and blames added, and new ones with what they begin with.
+    """The pool of strategies with credits and blames added.
 
-    pool: strategy_id, times_worked, times_failed; worked and failed: strategy_id, a row an event. Credits of
-    unknown strategies insert them; blames of unknown ones do nothing.
+    pool: strategy_id, times_worked, times_failed and any others; worked and failed: strategy_id, a row an event.
+    Events of unknown strategies, and of null, do nothing; null counts are 0.
     """
-    up = worked.groupBy("strategy_id").agg(F.count("*").alias("w"))
-    down = failed.groupBy("strategy_id").agg(F.count("*").alias("f"))
-    known = pool.join(up, "strategy_id", "full").join(down, "strategy_id", "left")
-    return known.select("strategy_id", (F.coalesce("times_worked", F.lit(0)) + F.coalesce("w", F.lit(0))).alias("times_worked"), (F.coalesce("times_failed", F.lit(0)) + F.coalesce("f", F.lit(0))).alias("times_failed"))
+    up = worked.groupBy("strategy_id").agg(F.count("*").alias("_w"))
+    down = failed.groupBy("strategy_id").agg(F.count("*").alias("_f"))
+    known = pool.join(up, "strategy_id", "left").join(down, "strategy_id", "left")
+    added = {"times_worked": "_w", "times_failed": "_f"}
+    return known.select(*[(F.coalesce(c, F.lit(0)) + F.coalesce(added[c], F.lit(0))).alias(c) if c in added else F.col(c) for c in pool.columns])
+
+
+def remember(pool: DataFrame, accepted: DataFrame) -> DataFrame:
+    """The pool with selectors that the gate accepted: known (selector, fingerprint) pairs are credited, others added with their count.
+
+    pool: strategy_id, list_selector, fingerprint, times_worked, times_failed; accepted: list_selector, fingerprint, a row
+    an event. Null fingerprints equal each other; rows without selector are left out. A pair that the pool holds
+    twice is credited on its smallest strategy_id. New ids are made from the pair.
+    """
+    key = [F.col("list_selector"), F.col("fingerprint")]
+    events = accepted.where("list_selector IS NOT NULL").groupBy(*key).agg(F.count("*").alias("_n"))
+    first = pool.groupBy(*key).agg(F.min("strategy_id").alias("_id"))
+    same = F.col("e.list_selector").eqNullSafe(F.col("p.list_selector")) & F.col("e.fingerprint").eqNullSafe(F.col("p.fingerprint"))
+    met = events.alias("e").join(first.alias("p"), same, "left").select("e.list_selector", "e.fingerprint", "_n", "_id")
+    credited = pool.join(met.where("_id IS NOT NULL").select(F.col("_id").alias("strategy_id"), "_n"), "strategy_id", "left")
+    kept = credited.select("strategy_id", "list_selector", "fingerprint", (F.coalesce("times_worked", F.lit(0)) + F.coalesce("_n", F.lit(0))).alias("times_worked"), F.coalesce("times_failed", F.lit(0)).alias("times_failed"))
+    made = F.substring(F.sha2(F.concat_ws("|", "list_selector", F.coalesce("fingerprint", F.lit("-"))), 256), 1, 16)
+    new = met.where("_id IS NULL").select(made.alias("strategy_id"), "list_selector", "fingerprint", F.col("_n").alias("times_worked"), F.lit(0).alias("times_failed"))
+    return kept.unionByName(new)

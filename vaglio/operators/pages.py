@@ -80,15 +80,27 @@ def walk(starts: DataFrame, links: DataFrame, most: int = MAX_PAGES) -> DataFram
     return out
 
 
+def pool_top(strategies: DataFrame, most: int = 50) -> DataFrame:
+    """The pool a run reads: the most often worked strategies, on a tie in pool order."""
+    return strategies.orderBy(F.desc("times_worked"), "pool_pos").limit(most)
+
+
 def ranked_strategies(pages: DataFrame, strategies: DataFrame) -> DataFrame:
     """Each page's ten best strategies: same fingerprint first, then the more often worked, then pool order.
 
-    strategies is a pool of at most 50 by contract, so pairing it with every page grows with the pages only.
+    strategies: strategy_id, fingerprint, times_worked, pool_pos; the 50 best make the pool. They are ranked once a
+    distinct fingerprint, of which the pool itself has at most 50; all other fingerprints share one ranking, so
+    pages find theirs by an equal join. A null fingerprint equals a null one.
     """
-    pool = F.broadcast(strategies.orderBy("pool_pos").limit(50))
-    order = W.partitionBy("page_id").orderBy((~F.col("s_fingerprint").eqNullSafe(F.col("fingerprint"))).cast("int"), F.desc("times_worked"), "pool_pos")
-    paired = pages.select("page_id", "fingerprint").join(pool.withColumnRenamed("fingerprint", "s_fingerprint"), F.lit(True))
-    return paired.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= LADDER_ATTEMPTS).select("page_id", "strategy_id", "rank")
+    pool = pool_top(strategies)
+    kinds = pool.select(F.struct("fingerprint").alias("f")).distinct().unionByName(pool.sparkSession.createDataFrame([(None,)], "f STRUCT<fingerprint: STRING>"))
+    order = W.partitionBy("f").orderBy(F.when(F.col("f").isNull(), True).otherwise(~F.col("fingerprint").eqNullSafe(F.col("f.fingerprint"))).cast("int"), F.desc("times_worked"), "pool_pos")
+    ranks = kinds.join(F.broadcast(pool), F.lit(True)).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= LADDER_ATTEMPTS)
+    # at most 51 kinds of ten rows
+    ranks = F.broadcast(ranks.select(F.coalesce(F.to_json("f", {"ignoreNullFields": "false"}), F.lit("*")).alias("kind"), "strategy_id", "rank"))
+    known = F.broadcast(pool.select(F.to_json(F.struct("fingerprint"), {"ignoreNullFields": "false"}).alias("kind"), F.lit(True).alias("there")).distinct())
+    of = pages.select("page_id", F.to_json(F.struct("fingerprint"), {"ignoreNullFields": "false"}).alias("kind"))
+    return of.join(known, "kind", "left").withColumn("kind", F.when(F.col("there"), F.col("kind")).otherwise("*")).join(ranks, "kind").select("page_id", "strategy_id", "rank")
 
 
 def ladder(attempts: DataFrame) -> DataFrame:

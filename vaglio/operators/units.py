@@ -25,7 +25,7 @@ LEXICON = {
     "C:CHF": ["chf", "sfr", "fr", "franchi", "franken", "francs", "franco"],
     "C:USD": ["usd", "$", "us$", "dollari", "dollars", "dollar", "dollaro"],
     "C:GBP": ["gbp", "£", "pounds", "pound", "sterline", "sterling", "sterlina", "pfund"],
-    "S:1000": ["k", "mila", "mille", "migliaia", "migl", "thousand", "tausend", "tsd"],
+    "S:1000": ["k", "mila", "migliaia", "migl", "thousand", "tausend", "tsd"],
     "S:1000000": ["m", "mln", "mio", "milione", "milioni", "million", "millions", "millionen", "mill"],
     "S:1000000000": ["mrd", "miliardo", "miliardi", "billion", "billions", "milliarde", "milliarden"],
     "R:max": ["max", "massimo", "massima", "fino", "bis", "up", "höchstens", "maximal", "maximum", "ciascuno", "tetto", "massimale"],
@@ -60,8 +60,9 @@ _WORDS = _below_hundred()
 
 def number_word(w: str) -> int | None:
     """The value of an Italian number word up to 999,999, or None."""
-    if w == "mille":
-        return None  # a scale
+    if w.startswith("mille"):
+        rest = number_word(w[5:]) if w != "mille" else 0
+        return None if rest is None or rest >= 1000 else 1000 + rest
     head, sep, tail = w.partition("mila")
     if sep:
         a, b = number_word(head) if head else None, number_word(tail) if tail else 0
@@ -107,6 +108,8 @@ def read_amounts(mapped: str) -> tuple[float | None, float | None, str | None]:
             item = {"n": parse_number(value) if kind == "D" else float(value), "scale": ahead_scale, "cur": ahead_currency, "role": role, "total": total, "joined": joined, "grouped": bool(re.search(r"[.,'’]\d{3}(\D|$)", value)), "word": kind == "N"}
             i += 1
             # what follows the number: a scale, "di", a currency, in this order
+            if i < len(tokens) and tokens[i] == ("N", "1000") and kind == "D":  # "80 mille"
+                tokens[i] = ("S", "1000")
             if i < len(tokens) and tokens[i][0] == "S" and item["scale"] is None:
                 item["scale"], i = float(tokens[i][1]), i + 1
                 if i < len(tokens) and tokens[i][0] == "S":  # "5000 mila" after "k" does not occur; "mille milioni" does
@@ -295,7 +298,7 @@ def bounds_in_euro(grants: DataFrame, rates: DataFrame) -> DataFrame:
     nothing; a currency without rate gives no row. A repeated row gives its bounds once.
     """
     rows = grants.select("grant_id", "source_id", "funding_text", _positive("funding_min").alias("funding_min"), _positive("funding_max").alias("funding_max"))
-    texts = rows.where(F.col("funding_text").rlike(r"\d|mil")).select("funding_text").distinct()
+    texts = rows.where("funding_text IS NOT NULL").select("funding_text").distinct()
     stated = text_amounts(texts)
     read = rows.join(stated, "funding_text", "left")
     pairs = read.where(F.col("low").isNotNull() | F.col("high").isNotNull()).select("source_id", F.explode(F.array(F.struct(F.col("funding_min").alias("stored"), F.col("low").alias("stated")), F.struct(F.col("funding_max").alias("stored"), F.col("high").alias("stated")))).alias("p")).select("source_id", "p.*")

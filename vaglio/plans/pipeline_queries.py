@@ -23,7 +23,7 @@ def p6_found(spark: SparkSession, root: str) -> DataFrame:
 
 
 def p6_unit_aliases(spark: SparkSession, root: str) -> DataFrame:
-    texts = table(spark, root, "grants").where(F.col("funding_text").rlike(r"\d|mil")).select("funding_text").distinct()
+    texts = table(spark, root, "grants").where("funding_text IS NOT NULL").select("funding_text").distinct()
     words = units.tokens_of(texts).where(~F.col("token").rlike(r"^[\d%;,:]")).select(F.col("token").alias("spelling")).distinct()
     return units.alias_dictionary(words)
 
