@@ -7,6 +7,7 @@ leaves over; only they are read as a tree, in Arrow batches. General CSS selecti
 
 from __future__ import annotations
 
+import json
 import re
 from bisect import bisect_left, bisect_right
 from html.entities import html5
@@ -36,7 +37,8 @@ _COMMON = {n: s for n, s in html5.items() if n.endswith(";") and n[:-1] in html5
 
 
 def _table(of: dict) -> Column:
-    return F.create_map(*[F.lit(x) for kv in of.items() for x in kv])
+    """A fixed map, as one literal that the optimizer folds: thousands of literals would make plans slow."""
+    return F.from_json(F.lit(json.dumps(of)), "MAP<STRING, STRING>")
 
 
 def _sign(code: Column) -> Column:
@@ -44,7 +46,7 @@ def _sign(code: Column) -> Column:
     windows = {k: bytes([k]).decode("cp1252", "replace") for k in range(0x80, 0xA0) if bytes([k]).decode("cp1252", "replace") != "�"}
     plain = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
     none = (code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF) | code.isNull()
-    return F.when(none, F.lit("�")).otherwise(F.coalesce(F.try_element_at(_table(windows), code), plain))
+    return F.when(none, F.lit("�")).otherwise(F.coalesce(F.try_element_at(_table(windows), code.cast("string")), plain))
 
 
 def unescape(c: Column) -> Column:

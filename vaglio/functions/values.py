@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vaglio.functions.text import collapse, let, strip
@@ -60,6 +60,11 @@ def iso_date(c: Column) -> Column:
     return F.when(F.substring(c, 1, 10).rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(F.substring(c, 1, 10), "yyyy-MM-dd"))
 
 
+def iso_timestamp(c: Column) -> Column:
+    """The moment that an ISO string with an offset, or Z, names; null if it is none."""
+    return F.try_to_timestamp(F.regexp_replace(strip(c), r"(?i)z$", "+00:00"))
+
+
 def dig(json: Column, path: str) -> Column:
     """The scalar (or JSON text) at a dotted path; a list on the way or at the end stands for its first element."""
     def first(j: Column) -> Column:
@@ -97,10 +102,26 @@ def calls_remaining(cap: Column, used: Column, budget: Column, source_used: Colu
     return F.greatest(F.lit(0), F.coalesce(F.least(run, budget - source_used), run))
 
 
+#: What a prompt says around its parts.
+TOPICS_HEAD, TEXT_HEAD, NO_TOPICS, NO_DESCRIPTION = "TOPICS TO SCORE:\n", "PAGE CONTENT:\n", "(no topics defined — return an empty relevance array)", "no description"
+RETRY_HEAD, RETRY_TAIL = "Your previous response failed schema validation with:\n", "Return corrected JSON matching the schema exactly."
+
+
+def topic_list(topics: DataFrame) -> DataFrame:
+    """topics: the active topics as one array, ordered by id. They are a fixed list of a person's making, read into every prompt."""
+    return topics.agg(F.array_sort(F.collect_list(F.struct("id", "name", "description"))).alias("topics"))
+
+
 def prompt(url: Column, topics: Column, text: Column) -> Column:
-    """What a model is asked: the page's address, the topics, a line each, and its text."""
-    lines = F.array_join(F.transform(topics, lambda t: F.concat(F.lit("- "), t["id"], F.lit(": "), t["name"])), "\n")
-    return F.concat_ws("\n\n", F.concat(F.lit("URL: "), url), F.concat(F.lit("TOPICS:\n"), lines), F.concat(F.lit("PAGE TEXT:\n"), text))
+    """What a model is asked: the page's address, the topics, a line each, and its text. topics: array of id, name, description; null or empty says that there are none."""
+    line = lambda t: F.concat(F.lit("- id="), t["id"], F.lit(" name="), t["name"], F.lit(": "), F.coalesce(F.nullif(t["description"], F.lit("")), F.lit(NO_DESCRIPTION)))
+    lines = F.array_join(F.transform(topics, line), "\n")
+    return F.concat_ws("\n\n", F.concat(F.lit("URL: "), url), F.concat(F.lit(TOPICS_HEAD), F.coalesce(F.nullif(lines, F.lit("")), F.lit(NO_TOPICS))), F.concat(F.lit(TEXT_HEAD), text))
+
+
+def retry_prompt(first: Column, errors: Column) -> Column:
+    """What a model is asked again: the first prompt, what was wrong with the answer, and to mend it."""
+    return F.concat_ws("\n\n", first, F.concat(F.lit(RETRY_HEAD), errors), F.lit(RETRY_TAIL))
 
 
 def relevant_topics(relevance: Column, threshold: float = 0.5) -> Column:

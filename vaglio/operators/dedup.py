@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vaglio.functions.distance import indel_ratio
-from vaglio.functions.values import normalise_title, sorted_words
+from vaglio.functions.values import iso_date, normalise_title, sorted_words
 
 THRESHOLD = 90
 #: Bigrams whose frequency is told apart.
@@ -85,7 +85,7 @@ def soft_duplicates(queries: DataFrame, pool: DataFrame, threshold: int = THRESH
     pool row without source matches any.
     """
     def read(rows: DataFrame) -> DataFrame:
-        return rows.withColumn("text", sorted_words(normalise_title(F.col("title")))).withColumn("month", F.date_trunc("month", F.col("deadline").cast("timestamp")).cast("date")).where("text <> '' AND month IS NOT NULL")
+        return rows.withColumn("text", sorted_words(normalise_title(F.col("title")))).withColumn("month", F.date_trunc("month", iso_date(F.col("deadline").cast("string"))).cast("date")).where("text <> '' AND month IS NOT NULL")
 
     q, p = read(queries), read(pool)
     texts = like_titles(q.select("month", "text").distinct(), p.select("month", "text").distinct(), threshold)

@@ -34,13 +34,14 @@ def fingerprints(pages: DataFrame) -> DataFrame:
     return named.select("page_id", "platform", F.concat("platform", F.lit(":"), digest).alias("fingerprint"))
 
 
-def next_links(pages: DataFrame) -> DataFrame:
-    """url, next_url of each page: rel=next first, else the first link that says so, of the same host and not itself."""
+def next_links(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """url, next_url (and keep) of each page: rel=next first, else the first link that says so, of the same host and not itself."""
+    kept = [f for f in pages.schema.fields if f.name in keep]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for url, html in batch[["url", "html"]].itertuples(index=False):
+            for url, html, *others in batch[["url", "html", *[f.name for f in kept]]].itertuples(index=False):
                 tree, nodes = select(html or "", 'a[rel~="next"],link[rel~="next"]')
                 found = [(0, k) for k in nodes]
                 for k in tree.anchors:
@@ -49,18 +50,19 @@ def next_links(pages: DataFrame) -> DataFrame:
                     href = a.get("href") or ""
                     if said and any(m in said for m in NEXT) and href and not href.startswith(("#", "javascript:")):
                         found.append((1, k))
-                rows += [(url, i, kind, tree.attributes[k].get("href")) for i, (kind, k) in enumerate(found) if tree.attributes[k].get("href")]
-            yield pd.DataFrame(rows, columns=["url", "pos", "kind", "href"])
+                rows += [(url, i, kind, tree.attributes[k].get("href"), *others) for i, (kind, k) in enumerate(found) if tree.attributes[k].get("href")]
+            yield pd.DataFrame(rows, columns=["url", "pos", "kind", "href", *[f.name for f in kept]])
 
-    links = pages.select("url", "html").mapInPandas(run, "url STRING, pos INT, kind INT, href STRING")
+    schema = "url STRING, pos INT, kind INT, href STRING" + "".join(f", {f.name} {f.dataType.simpleString()}" for f in kept)
+    links = pages.select("url", "html", *[f.name for f in kept]).mapInPandas(run, schema)
     links = links.withColumn("next_url", canonical_url(F.col("href"), F.col("url")))
-    return first_next(links)
+    return first_next(links, keep)
 
 
-def first_next(links: DataFrame) -> DataFrame:
+def first_next(links: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """url, next_url off url, pos, kind (0 rel, 1 text) and next_url: the first that may be followed."""
     fit = (F.col("next_url") != canonical_url(F.col("url"))) & (netloc(F.col("next_url")) == netloc(F.col("url"))) & ((F.col("kind") == 0) | ~F.lower(path(F.col("next_url"))).rlike(DOCUMENTS))
-    return links.where(fit).groupBy("url").agg(F.min(F.struct("kind", "pos", "next_url")).alias("m")).select("url", "m.next_url")
+    return links.where(fit).groupBy("url", *keep).agg(F.min(F.struct("kind", "pos", "next_url")).alias("m")).select("url", *keep, "m.next_url")
 
 
 def walk(starts: DataFrame, links: DataFrame, most: int = MAX_PAGES) -> DataFrame:

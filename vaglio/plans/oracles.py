@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from vaglio.functions.html import NOISE
-from vaglio.operators.extraction import FORBIDDEN
-from vaglio.operators.gate import CHROME
+from vaglio.plans.reference_queries import NOTICE_SHAPES
+from vaglio.plans.world import PER_PAGE
+
+#: Link texts that are no notices, and what no selector may hold.
+CHROME = ("home", "contatti", "privacy", "cookie", "cookie policy", "accedi", "login", "registrati", "cerca", "menu", "torna su", "leggi tutto", "continua", "vai al contenuto", "mappa del sito", "note legali", "amministrazione trasparente", "seguici", "newsletter", "faq", "aiuto", "english", "italiano")
+FORBIDDEN = ("javascript:", "<script", "expression(", "url(")
 
 #: White space as a class, for a dialect whose \s is ASCII only.
 WS = r"[\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -48,31 +51,51 @@ def escaped(c: str) -> str:
     return f"replace(replace(replace({c}, '&', '&amp;'), '<', '&lt;'), '\"', '&quot;')"
 
 
-NOTICES = rf"""
+def _wrapped(shape: str) -> str:
+    head, tail = ("T", "X") if shape.index(">T<") < shape.index(">X<") else ("X", "T")
+    sides = {"T": f"coalesce({escaped('title')}, '')", "X": f"coalesce({escaped('text')}, '')"}
+    one, rest = shape.split(f">{head}<", 1)
+    two, three = rest.split(f">{tail}<", 1)
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    return " || ".join([quoted(one + ">"), sides[head], quoted("<" + two + ">"), sides[tail], quoted("<" + three)])
+
+
+NOTICES = f"""
 n AS (
-  SELECT candidate_id AS page_id, '<html><head><title>x</title><style>p{{}}</style></head><body><nav><a href=''/''>Home</a></nav><header>h</header><div class="corpo riga-'
-    || (candidate_id % 7) || ' is-open"><h1>' || coalesce({escaped('title')}, '') || '</h1><script>var a=1;</script><!-- c --><p>' || coalesce({escaped('text')}, '')
-    || '</p></div><li class="voce nav__a1b2c3">&copy;</li><footer>f</footer></body></html>' AS html
+  SELECT candidate_id AS page_id, candidate_id % 4 AS k, title, text, CASE candidate_id % 4 WHEN 0 THEN {_wrapped(NOTICE_SHAPES[0])} WHEN 1 THEN {_wrapped(NOTICE_SHAPES[1])}
+    WHEN 2 THEN {_wrapped(NOTICE_SHAPES[2])} ELSE {_wrapped(NOTICE_SHAPES[3])} END AS html
   FROM candidates)"""
 
+#: What a reader sees of each shape, stated and not computed.
+SEEN = """
+CASE k WHEN 0 THEN coalesce(title, '') || chr(10) || coalesce(text, '') || chr(10) || '©'
+  WHEN 1 THEN 'Attività è l’ente € 5 ¬it; &lt;' || chr(10) || coalesce(text, '') || chr(10) || coalesce(title, '')
+  WHEN 2 THEN coalesce(title, '') || chr(10) || 'e' || chr(10) || coalesce(text, '') || chr(10) || '€'
+  ELSE coalesce(title, '') || chr(10) || coalesce(text, '') || chr(10) || '1' || chr(10) || 'fine "' || chr(39) || chr(39) || '<b>' END"""
+LINES = f"array_to_string(list_filter(list_transform(string_split({SEEN}, chr(10)), lambda x: {strip('x')}), lambda x: x <> ''), chr(10))"
+CLEAN = f"WITH {NOTICES}, v AS (SELECT page_id, html, {LINES} AS t FROM n)"
 
-def visible(c: str) -> str:
-    c = f"regexp_replace({c}, '(?s)<!--.*?-->', '', 'g')"
-    for tag in NOISE:
-        c = rf"regexp_replace({c}, '(?is)<{tag}(?:\s[^>]*)?>.*?</{tag}\s*>', chr(10), 'g')"
-    c = rf"regexp_extract({c}, '(?is)<body(?:\s[^>]*)?>(.*?)(?:</body\s*>|$)', 1)"
-    c = f"regexp_replace({c}, '<[^>]*>', chr(10), 'g')"
-    for name, sign in (("&nbsp;", "chr(160)"), ("&quot;", "'\"'"), ("&#39;", "''''"), ("&apos;", "''''"), ("&lt;", "'<'"), ("&gt;", "'>'"), ("&amp;", "'&'")):
-        c = f"replace({c}, '{name}', {sign})"
-    return f"array_to_string(list_filter(list_transform(string_split({c}, chr(10)), lambda x: {strip('x')}), lambda x: x <> ''), chr(10))"
 
+def stub(c: str) -> str:
+    return f"CASE WHEN length({c}) >= 40 THEN ({c})[1:40] || '…' ELSE {c} END"
 
-CLEAN = f"WITH {NOTICES}, v AS (SELECT page_id, html, {visible('html')} AS t FROM n)"
 
-LISTED = f"""
-WITH {CANON},
-l AS (
-  SELECT candidate_id, run_id::VARCHAR AS list_id, pos * 1000000000::BIGINT + candidate_id AS pos, canonical AS url, title, lower({part('base', 2)}) AS domain FROM u),
+_T, _X = stub(f"coalesce({escaped('title')}, '')"), stub(f"coalesce({escaped('text')}, '')")
+#: The structure of each shape as a model is given it, stated and not computed.
+CONDENSED = f"""
+SELECT page_id,
+  regexp_replace(CASE k WHEN 0 THEN '<html><body><nav><a>Home</a></nav><header>h</header><div class="corpo riga is-open"><h1>' || {_T} || '</h1><!-- c --><p>' || {_X} || '</p></div><li class="voce nav__a1b2c3">&copy;</li><footer>f</footer></body></html>'
+    WHEN 1 THEN '<BODY><nav><nav>a</nav>b</nav><div><li>' || {stub("'Attivit&agrave; &#232; l&rsquo;ente &euro; 5 &notit; &amp;lt;'")} || '</li><p>' || {_X} || '</p></div><article>' || {_T} || '</article></BODY>'
+    WHEN 2 THEN '<body><p>' || {_T} || '</p><div class="k1 k2 k3 k4 k5 k6 k7 k8 k9">' || {_X} || '</div><section><b>&#x20AC;&nbsp;</b></section><link><form>b">modulo<p>aperto</p>'
+    ELSE '<header>via</header><h2 id="t">' || {_T} || '</h2><div>' || {_X} || '</div><iframe>i</iframe><p>fine &quot;&#39;&apos;&lt;b&gt;</p>' END, '{WS}+', ' ', 'g')[1:18000] AS for_inference,
+  regexp_replace(CASE k WHEN 0 THEN '<html><head><title>x</title></head><body><nav><a href=''/''>Home</a></nav><header>h</header><div class="corpo riga is-open"><h1>' || {_T} || '</h1><!-- c --><p>' || {_X} || '</p></div><li class="voce nav__a1b2c3">&copy;</li><footer>f</footer></body></html>'
+    WHEN 1 THEN '<head><meta content=''WordPress 6'' name=''generator''></head><BODY class=x><nav><nav>a</nav>b</nav><div class=''corpo testo''><li class=voce>' || {stub("'Attivit&agrave; &#232; l&rsquo;ente &euro; 5 &notit; &amp;lt;'")} || '</li><p>' || {_X} || '</p></div><article class=''voce voce''>' || {_T} || '</article></BODY>'
+    WHEN 2 THEN '<body><p>' || {_T} || '</p><div class="k1 k2 k3 k4 k5 k6 k7 k8 k9"><label>e</label>' || {_X} || '</div><section class=''k9 k9b ab''><b>&#x20AC;&nbsp;</b></section><link href=''/wp-content/a.css''><form><input value="a>b">modulo<p>aperto</p>'
+    ELSE '<header>via</header><h2 id="t" style=''x''>' || {_T} || '</h2><div>' || {_X} || '</div><select><option>1</option></select><iframe>i</iframe><p>fine &quot;&#39;&apos;&lt;b&gt;</p>' END, '{WS}+', ' ', 'g')[1:16000] AS for_drafting
+FROM n"""
+
+#: z: the rows of l(list_id, pos, url, title, domain) with the gate's reasons.
+GATE = f"""
 s AS (SELECT l.*, list_filter(string_split({part('url', 3)}, '/'), lambda x: x <> '') AS seg FROM l),
 d AS (
   SELECT s.*, array_to_string(seg[1:2], '/') AS prefix,
@@ -88,6 +111,12 @@ z AS (
   SELECT e.*, coalesce(r2, CASE WHEN kept >= 4 AND top >= 3 AND top >= 2 * second AND prefix <> dominant THEN 'incohesive' END, 'kept') AS reason
   FROM e LEFT JOIN i USING (list_id))"""
 
+LISTED = f"""
+WITH {CANON},
+l AS (
+  SELECT candidate_id, run_id::VARCHAR AS list_id, pos * 1000000000::BIGINT + candidate_id AS pos, canonical AS url, title, lower({part('base', 2)}) AS domain FROM u),
+{GATE}"""
+
 POOL = """
 pool AS (
   SELECT id AS strategy_id, 'f' || (length(label) % 3) AS fingerprint, (length(list_selector) % 5)::INT AS times_worked, row_number() OVER (ORDER BY id) AS pool_pos
@@ -95,7 +124,7 @@ pool AS (
 RANKS = f"""
 {POOL},
 pg AS (SELECT run_id AS page_id, 'f' || (run_id % 3) AS fingerprint FROM scan_runs),
-top AS (SELECT * FROM pool ORDER BY pool_pos LIMIT 50),
+top AS (SELECT * FROM pool ORDER BY times_worked DESC, pool_pos LIMIT 50),
 rk AS (
   SELECT page_id, strategy_id, row_number() OVER (PARTITION BY page_id ORDER BY (top.fingerprint IS DISTINCT FROM pg.fingerprint)::INT, times_worked DESC, pool_pos) AS rank
   FROM pg CROSS JOIN top QUALIFY rank <= 10)"""
@@ -117,12 +146,11 @@ PAGER = """
 pl AS (
   SELECT 'https://p.example/' || source_id || '/' || seq AS url, 'https://p.example/' || source_id || '/' || (CASE WHEN seq % 5 = 4 THEN seq - 3 ELSE seq + 1 END) AS next_url FROM scan_runs)"""
 
-RESPONSES = """
+RESPONSES = f"""
+g0 AS (
+  SELECT grant_id, grant_id % 12 AS k, nullif(title, '') AS title, issuer, category, funding_text, deadline, CASE WHEN grant_id % 2 = 0 THEN 'valid' WHEN grant_id % 3 = 0 THEN 'not_a_grant' ELSE 'invalid_json' END AS s2 FROM grants),
 resp AS (
-  SELECT grant_id, deadline,
-    CASE WHEN grant_id % 13 = 0 THEN 'invalid_json' WHEN grant_id % 5 = 0 THEN 'not_a_grant' WHEN grant_id % 7 = 0 OR grant_id % 11 = 0 THEN 'invalid' ELSE 'valid' END AS s1,
-    CASE WHEN grant_id % 2 = 0 THEN 'valid' ELSE 'invalid_json' END AS s2
-  FROM grants)"""
+  SELECT g0.*, CASE WHEN k IN (0, 3, 4) THEN 'invalid_json' WHEN k IN (1, 2) THEN 'not_a_grant' WHEN k BETWEEN 6 AND 10 OR length(coalesce(title, 'Senza')) > 500 OR length(issuer) > 300 THEN 'invalid' ELSE 'valid' END AS s1 FROM g0)"""
 
 NOISE_WORDS = "bando|avviso|pubblico|contributi?|contributo|finanziamento|voucher|fondo|misura|anno|edizione|20[0-9][0-9]"
 
@@ -150,23 +178,18 @@ SELECT list_id, count(*) AS candidates_before_gate, count(*) FILTER (reason = 'k
   CASE WHEN count(*) FILTER (reason = 'kept') > 200 THEN 'implausible_count_high' WHEN count(*) FILTER (reason = 'kept') < 2 THEN 'implausible_count_low' ELSE 'accepted' END AS gate_verdict
 FROM z GROUP BY list_id""",
     "gate_accepted": f"{LISTED} SELECT list_id, candidate_id, url FROM z WHERE reason = 'kept' QUALIFY count(*) OVER (PARTITION BY list_id) BETWEEN 2 AND 200",
-    "page_fingerprints": """
-SELECT candidate_id AS page_id, 'unknown' AS platform, 'unknown:' || sha256('corpo,riga-' || (candidate_id % 7) || ',voce')[1:12] AS fingerprint FROM candidates""",
+    "page_fingerprints": f"""
+WITH c(k, platform, shape) AS (VALUES (0, 'unknown', 'corpo,riga,voce'), (1, 'wordpress', 'voce,corpo,testo'), (2, 'wordpress', ''), (3, 'unknown', ''))
+SELECT candidate_id AS page_id, platform, platform || ':' || sha256(CASE k WHEN 2 THEN 'k9b' ELSE shape END)[1:12] AS fingerprint FROM candidates JOIN c ON k = candidate_id % 4""",
     "link_candidates": f"""
-WITH {CANON}, f AS (SELECT source_id, min(run_id) AS run_id FROM scan_runs GROUP BY 1)
-SELECT run_id::VARCHAR AS list_id, (row_number() OVER (PARTITION BY run_id, source_id ORDER BY pos, candidate_id) - 1)::INT AS pos, canonical AS url, nullif({strip('title')}, '') AS title, 'ok' AS status
-FROM u WHERE run_id IN (SELECT run_id FROM f)""",
+WITH {CANON}
+SELECT run_id::VARCHAR AS list_id, (row_number() OVER (PARTITION BY run_id, source_id ORDER BY pos, candidate_id) - 1)::INT AS pos, canonical AS url, nullif({strip('title')}, '') AS title, 'ok' AS status FROM u""",
     "ladder_ranks": f"WITH {RANKS} SELECT page_id, strategy_id, rank FROM rk",
-    "ladder_winner": f"""
-WITH {RANKS},
-tries AS (
-  SELECT page_id, 2 AS rung, rank, strategy_id, (page_id + rank) % 7 = 0 AS ok FROM rk
-  UNION ALL SELECT run_id, 1, 0, 'cached', run_id % 4 = 0 FROM scan_runs),
-wn AS (SELECT page_id, min(rung * 1000 + rank) FILTER (ok) AS place, arg_min(strategy_id, rung * 1000 + rank) FILTER (ok) AS winner, arg_min(rung, rung * 1000 + rank) FILTER (ok) AS rung FROM tries GROUP BY 1)
-SELECT wn.page_id, winner, wn.rung,
-  coalesce((SELECT string_agg(strategy_id, ',' ORDER BY rank) FROM tries WHERE tries.page_id = wn.page_id AND tries.rung = 2 AND NOT ok AND (place IS NULL OR 2000 + rank < place)), '') AS blamed
-FROM wn""",
-    "next_page": f"WITH {PAGER} SELECT url, next_url FROM pl",
+    "next_page": f"""
+WITH r AS (
+  SELECT run_id, max(last) AS last, 'https://' || lower({part("any_value(coalesce(nullif(list_url, ''), url))", 2)}) || '/elenco-' || run_id AS url FROM (SELECT run_id, (count(*) - 1) // {PER_PAGE} AS last FROM candidates GROUP BY 1) JOIN scan_runs USING (run_id) JOIN sources ON id = source_id
+  WHERE type <> 'html_js' GROUP BY run_id)
+SELECT url || CASE WHEN p > 1 THEN '?pagina=' || p ELSE '' END AS url, url || '?pagina=' || (p + 1) AS next_url FROM r, LATERAL (SELECT unnest(range(1, last + 1)) AS p)""",
     "page_walk": f"""
 WITH RECURSIVE {PAGER},
 wk(start, page_no, url, seen) AS (
@@ -187,12 +210,13 @@ SELECT coalesce(o.source_id, nw.source_id) AS source_id, coalesce(o.url_hash, nw
   coalesce(nw.fetched_at, o.last_seen_at) AS last_seen_at, o.source_id IS NULL AS is_new
 FROM o FULL JOIN nw ON o.source_id IS NOT DISTINCT FROM nw.source_id AND o.url_hash IS NOT DISTINCT FROM nw.page""",
     "grant_upsert": """
-WITH g AS (SELECT url_hash, source_id, title, found_at, last_seen_at, duplicate_of, grant_id FROM grants),
-o AS (SELECT * FROM g WHERE grant_id % 2 = 0 QUALIFY row_number() OVER (PARTITION BY url_hash ORDER BY last_seen_at DESC NULLS LAST, grant_id DESC) = 1),
-n AS (SELECT * FROM g WHERE grant_id % 3 = 0 QUALIFY row_number() OVER (PARTITION BY url_hash ORDER BY last_seen_at DESC NULLS LAST, grant_id DESC) = 1)
+WITH b AS (SELECT max(started_at) AS began FROM scan_runs),
+g AS (SELECT url_hash, source_id, title, found_at, last_seen_at, duplicate_of, grant_id, coalesce(found_at < began, true) AS known, coalesce(last_seen_at >= began, false) AS seen FROM grants, b),
+o AS (SELECT * FROM g WHERE known QUALIFY row_number() OVER (PARTITION BY url_hash ORDER BY last_seen_at DESC NULLS LAST, grant_id DESC) = 1),
+n AS (SELECT * FROM g WHERE NOT known OR seen QUALIFY row_number() OVER (PARTITION BY url_hash ORDER BY last_seen_at DESC NULLS LAST, grant_id DESC) = 1)
 SELECT coalesce(o.url_hash, n.url_hash) AS url_hash, coalesce(n.source_id, o.source_id) AS source_id, coalesce(n.title, o.title) AS title, coalesce(o.found_at, n.found_at) AS found_at,
   coalesce(n.last_seen_at, o.last_seen_at) AS last_seen_at, coalesce(n.duplicate_of, o.duplicate_of) AS duplicate_of, o.grant_id IS NULL AS is_new
-FROM o FULL JOIN n ON o.url_hash = n.url_hash""",
+FROM o FULL JOIN n ON o.url_hash IS NOT DISTINCT FROM n.url_hash""",
     "title_normalise": rf"""
 WITH a AS (SELECT grant_id, lower(title) AS t FROM grants),
 b AS (SELECT grant_id, regexp_replace(regexp_replace(t, '(^|[^\pL\pN_])(?:{NOISE_WORDS})($|[^\pL\pN_])', '\1 \2', 'g'), '(^|[^\pL\pN_])(?:{NOISE_WORDS})($|[^\pL\pN_])', '\1 \2', 'g') AS t FROM a)
@@ -226,8 +250,7 @@ FROM oc GROUP BY source_id""",
     "track_record": f"""
 WITH {POOL},
 e AS (SELECT source_id AS strategy_id, count(*) FILTER (status = 'ok') AS w, count(*) FILTER (status = 'error') AS f FROM scan_runs GROUP BY 1)
-SELECT coalesce(pool.strategy_id, e.strategy_id) AS strategy_id, coalesce(times_worked, 0) + coalesce(w, 0) AS times_worked, coalesce(f, 0) AS times_failed
-FROM pool FULL JOIN e ON pool.strategy_id = e.strategy_id WHERE pool.strategy_id IS NOT NULL OR w > 0""",
+SELECT strategy_id, times_worked + coalesce(w, 0) AS times_worked, coalesce(f, 0) AS times_failed FROM pool LEFT JOIN e USING (strategy_id)""",
     "budget_admission": """
 WITH c AS (
   SELECT r.seq AS run_key, c.source_id, candidate_id, row_number() OVER (PARTITION BY r.seq, c.source_id ORDER BY candidate_id) <= 12 AS in_budget
@@ -244,43 +267,64 @@ SELECT grant_id, nullif(array_to_string(list_filter([CASE WHEN r[1] >= 0.5 THEN
     "category_coerce": f"""
 SELECT grant_id, coalesce(list_filter(['Digital & Innovation', 'Sustainability', 'Startups & SMEs', 'Research & Development', 'Culture & Tourism', 'Internationalization', 'Training', 'Agriculture', 'Other'],
   lambda k: lower(k) = lower({strip('category')}))[1], 'Other') AS category FROM grants""",
-    "deadline_coerce": """
-SELECT grant_id, CASE WHEN grant_id % 5 > 1 THEN strftime(deadline, '%Y-%m-%d') END AS deadline, grant_id % 5 = 0 AS failed FROM grants""",
+    "deadline_coerce": rf"""
+WITH d AS (SELECT grant_id, grant_id % 6 AS k, coalesce(strftime(deadline, '%Y-%m-%d'), 'n/d') AS day FROM grants),
+r AS (SELECT grant_id, {strip("CASE k WHEN 0 THEN day[1:4] || '-02-30' WHEN 1 THEN 'entro il ' || day WHEN 2 THEN chr(160) || day || chr(10) WHEN 3 THEN day || 'T12:00' WHEN 4 THEN replace(day, '-', '/') ELSE day END")} AS t FROM d)
+SELECT grant_id, CASE WHEN regexp_full_match(t, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') THEN strftime(try_cast(t AS DATE), '%Y-%m-%d') END AS deadline, regexp_full_match(t, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') AND try_cast(t AS DATE) IS NULL AS failed FROM r""",
     "requirements_clean": f"""
 SELECT grant_id, array_to_string(coalesce(list_filter(list_transform(requirements, lambda x: {strip('x')}), lambda x: x IS NOT NULL AND x <> ''), [])[1:20], '|') AS requirements FROM grants""",
-    "json_dig": "SELECT event_id, json_extract_string(props, '$.k') AS k, '1' AS c, NULL::VARCHAR AS missing FROM events",
+    "json_dig": """
+WITH p AS (SELECT event_id, event_id % 5 AS k, coalesce(props, '{}') AS p FROM events),
+j AS (SELECT event_id, k, CASE k WHEN 0 THEN '{"a": [{"b": ' || p || '}], "c": [1, 2]}' WHEN 1 THEN '{"a": {"b": [' || p || ', 5]}, "c": ["x"]}' WHEN 2 THEN '{"a": {"b": ' || p || '}, "c": {"d": "e"}}'
+  WHEN 3 THEN '[{"a": {"b": ' || p || '}, "c": []}]' ELSE '{"a": 4, "z": ' || p || ', "c": "testo"}' END AS j FROM p)
+SELECT event_id, CASE k WHEN 0 THEN json_extract_string(j, '$.a[0].b.k') WHEN 1 THEN json_extract_string(j, '$.a.b[0].k') WHEN 2 THEN json_extract_string(j, '$.a.b.k') WHEN 3 THEN json_extract_string(j, '$[0].a.b.k') END AS k,
+  CASE k WHEN 0 THEN '1' WHEN 1 THEN 'x' WHEN 2 THEN '{"d":"e"}' WHEN 4 THEN 'testo' END AS c, json_extract_string(j, '$.a.x.y') AS missing FROM j""",
     "payload_text": """
-SELECT candidate_id, CASE WHEN coalesce(title, '') <> '' THEN 'Title: ' || title || chr(10) ELSE '' END || 'budget: ' || candidate_id || chr(10) || 'deadlineModel: m' || chr(10)
-  || 'Summary: s' || pos || chr(10) || 'URL: ' || coalesce(url, '') AS text FROM candidates""",
-    "extraction_validate": f"""
+WITH m AS (
+  SELECT candidate_id, title, url, '{' || CASE WHEN pos % 2 = 0 THEN '"summary": "s' || pos || '", ' ELSE '"summary": "", ' END || '"metadata": {' || CASE pos % 3 WHEN 0 THEN '"callTitle": ["C' || candidate_id || '", "z"], "programmeDivision": [], "other": "no", '
+    WHEN 1 THEN '"closingDate": null, "description": "d ' || candidate_id || '", ' ELSE '' END || '"budget": [' || candidate_id || '], "duration": "", "deadlineModel": "m"}}' AS j FROM candidates),
+f AS (
+  SELECT *, ['callTitle', 'description', 'destinationDetails', 'budget', 'deadlineDate', 'closingDate', 'deadlineModel', 'duration', 'programmeDivision', 'typesOfAction', 'callccm2Id'] AS names,
+    [CASE json_type(j, '$.metadata.' || n) WHEN 'ARRAY' THEN json_extract_string(j, '$.metadata.' || n || '[0]') ELSE json_extract_string(j, '$.metadata.' || n) END
+     FOR n IN ['callTitle', 'description', 'destinationDetails', 'budget', 'deadlineDate', 'closingDate', 'deadlineModel', 'duration', 'programmeDivision', 'typesOfAction', 'callccm2Id']] AS v FROM m)
+SELECT candidate_id, array_to_string(list_filter(list_concat([CASE WHEN coalesce(title, '') <> '' THEN 'Title: ' || title END], list_transform(range(1, 12), lambda i: CASE WHEN coalesce(v[i], '') <> '' THEN names[i] || ': ' || v[i] END),
+  [CASE WHEN coalesce(json_extract_string(j, '$.summary'), '') <> '' THEN 'Summary: ' || json_extract_string(j, '$.summary') END, 'URL: ' || coalesce(url, '')]), lambda x: x IS NOT NULL), chr(10)) AS text FROM f""",
+    "extraction_validate": rf"""
 WITH {RESPONSES}, l AS (SELECT *, s1 IN ('valid', 'not_a_grant') AS ok1 FROM resp)
 SELECT grant_id, CASE WHEN ok1 THEN 1 ELSE 2 END AS attempt,
-  CASE WHEN s1 = 'valid' OR (NOT ok1 AND s2 = 'valid') THEN 'stored' WHEN s1 = 'not_a_grant' THEN 'rejected' ELSE 'quarantined' END AS outcome,
-  CASE WHEN s1 = 'valid' THEN 'Titolo' WHEN NOT ok1 AND s2 = 'valid' THEN 'Secondo' END AS title,
-  CASE WHEN s1 = 'valid' THEN 'Training' WHEN NOT ok1 AND s2 = 'valid' THEN 'Other' END AS category,
-  CASE WHEN s1 = 'valid' THEN 10000.5 END::DOUBLE AS funding_max, CASE WHEN s1 = 'valid' THEN strftime(deadline, '%Y-%m-%d') END AS deadline
+  CASE WHEN s1 = 'valid' OR (NOT ok1 AND s2 = 'valid') THEN 'stored' WHEN s1 = 'not_a_grant' OR (NOT ok1 AND s2 = 'not_a_grant') THEN 'rejected' ELSE 'quarantined' END AS outcome,
+  CASE WHEN s1 = 'valid' THEN coalesce(title, 'Senza') WHEN NOT ok1 AND s2 = 'valid' THEN 'Secondo' END AS title,
+  CASE WHEN s1 = 'valid' THEN coalesce(list_filter(['Digital & Innovation', 'Sustainability', 'Startups & SMEs', 'Research & Development', 'Culture & Tourism', 'Internationalization', 'Training', 'Agriculture', 'Other'],
+    lambda c: lower(c) = lower({strip('category')}))[1], 'Other') WHEN NOT ok1 AND s2 = 'valid' THEN 'Other' END AS category,
+  CASE WHEN s1 = 'valid' THEN try_cast(nullif(replace(replace(regexp_replace(funding_text, '[^\d,.]', '', 'g'), '.', ''), ',', '.'), '') AS DOUBLE) END AS funding_max, CASE WHEN s1 = 'valid' THEN strftime(deadline, '%Y-%m-%d') END AS deadline
 FROM l""",
-    "quarantine": f"WITH {RESPONSES} SELECT grant_id, s2 AS status FROM resp WHERE s1 NOT IN ('valid', 'not_a_grant') AND s2 <> 'valid'",
+    "quarantine": f"WITH {RESPONSES} SELECT grant_id, s2 AS status FROM resp WHERE s1 NOT IN ('valid', 'not_a_grant') AND s2 NOT IN ('valid', 'not_a_grant')",
     "rule_validate": rf"""
 WITH s AS (SELECT id, CASE WHEN length(label) % 4 = 0 THEN 'javascript:x' ELSE coalesce(list_selector, '') END AS sel, length(url) % 25 AS mp, CASE WHEN length(url) % 3 = 0 THEN 'delete' ELSE 'post' END AS m FROM sources),
 o AS (SELECT s.*, NOT ({' OR '.join(f"contains(lower(sel), '{t}')" for t in FORBIDDEN)}) AND length(sel) <= 200 AND mp BETWEEN 1 AND 20 AND m = 'post' AS ok FROM s)
 SELECT id, regexp_full_match(trim(sel), '[A-Za-z0-9\s.,#\[\]=''"_:()>+~*-]{{1,200}}') AND NOT (contains(lower(sel), 'javascript:') OR contains(lower(sel), 'expression(') OR contains(sel, '<') OR contains(lower(sel), '>alert') OR contains(lower(sel), 'url(')) AS safe,
   CASE WHEN ok THEN 'valid' ELSE 'invalid' END AS status, ok AND {strip('sel')} <> '' AS usable, false AS api_style, CASE WHEN ok THEN 'POST' END AS method, CASE WHEN ok THEN mp END AS max_pages FROM o""",
     "scrub_text": r"""
-WITH m AS (SELECT doc_id, text || ' a.b@c.example sk-a1a1a1a1a1a1a1a1a1 Authorization: Bearer abc, fine' AS t FROM documents)
-SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(t, '[\pL\pN_.+-]+@[\pL\pN_-]+\.[\pL\pN_.-]*[\pL\pN_]', '[REDACTED]', 'g'),
-  '\bsk-[A-Za-z0-9_-]{16,}', '[REDACTED]', 'g'), '(?i)\b(authorization|apikey|api[-_]?key)\s*[:=]\s*\S[^,;}\]"''\n]*', '\1: [REDACTED]', 'g') AS text FROM m""",
+WITH m AS (SELECT doc_id, text || ' a.b@c.example hunter2hunter2-x hunter2hunter2 corto s' || 'k-' || repeat('a1', 12) || ' r' || 'e_' || repeat('a1', 12) || ' gh' || 'p_' || repeat('a1', 12) || ' github' || '_pat_' || repeat('a1', 12)
+  || ' sb_' || 'secret_' || repeat('a1', 12) || ' ey' || 'J' || repeat('b2', 5) || '.' || repeat('c3', 5) || '.d4 Authorization: Bearer abc, fine' || chr(10) || 'Api-Key=xyz; ok' AS t FROM documents),
+a AS (SELECT doc_id, regexp_replace(replace(replace(t, 'hunter2hunter2-x', '[REDACTED]'), 'hunter2hunter2', '[REDACTED]'), '[\pL\pN_.+-]+@[\pL\pN_-]+\.[\pL\pN_.-]*[\pL\pN_]', '[REDACTED]', 'g') AS t FROM m),
+b AS (SELECT doc_id, regexp_replace(t, '(eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+|sb_(secret|publishable)_[A-Za-z0-9_-]+|\bsk-[A-Za-z0-9_-]{16,}|\bre_[A-Za-z0-9_-]{16,}|\bgh[pousr]_[A-Za-z0-9]{16,}|\bgithub_pat_[A-Za-z0-9_]{20,})', '[REDACTED]', 'g') AS t FROM a)
+SELECT doc_id, regexp_replace(t, '(?i)\b(authorization|apikey|api[-_]?key)\s*[:=]\s*\S[^,;}\]"''\n]*', '\1: [REDACTED]', 'g') AS text FROM b""",
     "api_candidates": f"""
 WITH {CANON}
 SELECT run_id::VARCHAR AS run_id, canonical AS url, nullif({strip('title')}, '') AS title FROM u QUALIFY row_number() OVER (PARTITION BY run_id, canonical ORDER BY pos, candidate_id) = 1""",
     "rss_candidates": f"""
 WITH {CANON}
-SELECT run_id::VARCHAR AS run_id, (row_number() OVER (PARTITION BY run_id ORDER BY pos, candidate_id) - 1)::INT AS pos, canonical AS url, nullif({strip('title')}, '') AS title FROM u""",
+SELECT run_id::VARCHAR AS run_id, (row_number() OVER (PARTITION BY run_id ORDER BY pos, candidate_id) - 1)::INT AS pos, canonical AS url, nullif({strip('title')}, '') AS title FROM u WHERE run_id % 4 <> 3""",
+    "rss_outcomes": "SELECT run_id::VARCHAR AS run_id, CASE WHEN run_id % 4 = 3 THEN 0 ELSE count(*) END AS entries, CASE WHEN run_id % 4 = 3 THEN 'feed cannot be read' END AS error FROM candidates GROUP BY run_id",
+    "condense_html": f"WITH {NOTICES} {CONDENSED}",
     "page_urls": """
 SELECT id, k::INT AS page, CASE WHEN k > 1 AND coalesce(json_extract_string(api_config, '$.page_param'), '') <> ''
   THEN url || CASE WHEN contains(url, '?') THEN '&' ELSE '?' END || json_extract_string(api_config, '$.page_param') || '=' || k ELSE url END AS page_url
 FROM sources CROSS JOIN range(1, 6) AS r(k)""",
-    "prompts": "SELECT candidate_id, 'URL: ' || url || chr(10) || chr(10) || 'TOPICS:' || chr(10) || '- t0: energia' || chr(10) || '- t1: ricerca' || chr(10) || chr(10) || 'PAGE TEXT:' || chr(10) || text AS prompt FROM candidates",
+    "prompts": """
+WITH t AS (SELECT string_agg('- id=t-' || type || ' name=' || type || ': ' || CASE WHEN n > 8 THEN 'da ' || n ELSE 'no description' END, chr(10) ORDER BY 't-' || type) AS t FROM (SELECT type, count(*) AS n FROM sources GROUP BY 1))
+SELECT candidate_id, concat_ws(chr(10) || chr(10), 'URL: ' || url, 'TOPICS TO SCORE:' || chr(10) || CASE WHEN candidate_id % 7 <> 0 THEN t ELSE '(no topics defined — return an empty relevance array)' END, 'PAGE CONTENT:' || chr(10) || text) AS prompt FROM candidates, t""",
     "soft_duplicates": rf"""
 WITH a AS (SELECT grant_id, source_id, date_trunc('month', deadline)::DATE AS month, lower(title) AS t FROM grants),
 b AS (SELECT * REPLACE (regexp_replace(regexp_replace(t, '(^|[^\pL\pN_])(?:{NOISE_WORDS})($|[^\pL\pN_])', '\1 \2', 'g'), '(^|[^\pL\pN_])(?:{NOISE_WORDS})($|[^\pL\pN_])', '\1 \2', 'g') AS t) FROM a),

@@ -33,17 +33,10 @@ QUERIES = {"p3_found": p3_found, "p3_reread_marks": p3_reread_marks, "p6_found":
 ORACLES = {
     "p3_reread_marks": """
 WITH r AS (SELECT * FROM scan_runs WHERE source_id IS NOT NULL AND started_at IS NOT NULL),
-l AS (
-  SELECT source_id,
-         max(finished_at) FILTER (WHERE status = 'ok') AS last_end,
-         max(started_at) FILTER (WHERE status = 'ok' AND finished_at IS NOT NULL) AS last_start
-  FROM r GROUP BY source_id),
+l AS (SELECT source_id, started_at AS last_start, finished_at AS last_end FROM r WHERE status = 'ok' AND finished_at IS NOT NULL QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY started_at DESC, finished_at DESC) = 1),
 o AS (
-  SELECT r.source_id, last_end, last_start, started_at,
-         started_at <= last_end AND (status IS DISTINCT FROM 'ok' OR finished_at IS NULL OR finished_at > last_end) AS is_open
-  FROM r JOIN l USING (source_id))
-SELECT source_id, any_value(last_end) AS last_end,
-       least(min(started_at) FILTER (WHERE is_open), any_value(last_start)) AS reread_from,
-       count(*) FILTER (WHERE is_open) AS open_runs
+  SELECT r.*, last_start, last_end, started_at < last_start AND (finished_at > last_start OR (finished_at IS NULL AND status IS DISTINCT FROM 'error')) AS is_open,
+    started_at >= last_start AND (status IS DISTINCT FROM 'ok' OR finished_at IS NULL) AS failed_since FROM r LEFT JOIN l USING (source_id))
+SELECT source_id, any_value(last_end) AS last_end, coalesce(min(started_at) FILTER (is_open), any_value(last_start)) AS reread_from, count(*) FILTER (is_open OR failed_since) AS open_runs
 FROM o GROUP BY source_id""",
 }

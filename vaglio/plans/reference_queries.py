@@ -5,6 +5,8 @@ There are no stored HTML pages: list pages are built from the candidates of each
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -15,6 +17,7 @@ from vaglio.functions import urls as U
 from vaglio.functions import values as V
 from vaglio.functions.text import content_hash
 from vaglio.operators import dedup, extraction, gate, history, incremental, merge, pages
+from vaglio.plans import world
 from vaglio.session import table
 from vaglio.sources import readers
 
@@ -36,15 +39,28 @@ def _escape(c: Column) -> Column:
     return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit('"'), F.lit("&quot;"))
 
 
+#: Wrappings of a page's title (T) and text (X), as they are met: noise that nests or stays open, character references, other quoting, no body.
+NOTICE_SHAPES = (
+    "<html><head><title>x</title><style>p{}</style></head><body><nav><a href='/'>Home</a></nav><header>h</header><div class=\"corpo riga is-open\"><h1>T</h1><script>var a=1;</script><!-- c --><p>X</p></div><li class=\"voce nav__a1b2c3\">&copy;</li><footer>f</footer></body></html>",
+    "<head><meta content='WordPress 6' name='generator'></head><BODY class=x><nav><nav>a</nav>b</nav><div class='corpo testo'><li class=voce>Attivit&agrave; &#232; l&rsquo;ente &euro; 5 &notit; &amp;lt;</li><p>X</p></div><article class='voce voce'>T</article></BODY>",
+    "<body><p>T</p><div class=\"k1 k2 k3 k4 k5 k6 k7 k8 k9\"><label>e</label>X</div><section class='k9 k9b ab'><b>&#x20AC;&nbsp;</b></section><link href='/wp-content/a.css'><form><input value=\"a>b\">modulo<p>aperto</p>",
+    "<header>via</header><h2 id=\"t\" style='x'>T</h2><svg><path d='M0'/></svg><div>X</div><select><option>1</option></select><noscript>n</noscript><iframe>i</iframe><p>fine &quot;&#39;&apos;&lt;b&gt;</p>",
+)
+
+
 def _notice_pages(spark: SparkSession, root: str) -> DataFrame:
-    """page_id, html: each candidate's page, built around its text."""
+    """page_id, html: each candidate's page, built around its title and text in one of the shapes."""
     c = table(spark, root, "candidates")
-    parts = [
-        F.lit("<html><head><title>x</title><style>p{}</style></head><body><nav><a href='/'>Home</a></nav><header>h</header><div class=\"corpo riga-"),
-        (F.col("candidate_id") % 7).cast("string"), F.lit(" is-open\"><h1>"), F.coalesce(_escape(F.col("title")), F.lit("")), F.lit("</h1><script>var a=1;</script><!-- c --><p>"),
-        F.coalesce(_escape(F.col("text")), F.lit("")), F.lit("</p></div><li class=\"voce nav__a1b2c3\">&copy;</li><footer>f</footer></body></html>"),
-    ]
-    return c.select(F.col("candidate_id").alias("page_id"), F.concat(*parts).alias("html"))
+    title, text = F.coalesce(_escape(F.col("title")), F.lit("")), F.coalesce(_escape(F.col("text")), F.lit(""))
+
+    def built(shape: str) -> Column:
+        pieces = re.split(r"(?<=[>])([TX])(?=<)", shape)
+        return F.concat(*[title if p == "T" else text if p == "X" else F.lit(p) for p in pieces])
+
+    html = F.lit(None).cast("string")
+    for k, shape in enumerate(NOTICE_SHAPES):
+        html = F.when(F.col("candidate_id") % len(NOTICE_SHAPES) == k, built(shape)).otherwise(html)
+    return c.select(F.col("candidate_id").alias("page_id"), html.alias("html"))
 
 
 def canonical_urls(spark: SparkSession, root: str) -> DataFrame:
@@ -108,12 +124,6 @@ def ladder_ranks(spark: SparkSession, root: str) -> DataFrame:
     return pages.ranked_strategies(_ladder_pages(spark, root), _pool(spark, root))
 
 
-def ladder_winner(spark: SparkSession, root: str) -> DataFrame:
-    ranks = ladder_ranks(spark, root).select("page_id", F.lit(2).alias("rung"), "rank", "strategy_id", ((F.col("page_id") + F.col("rank")) % 7 == 0).alias("accepted"))
-    cached = table(spark, root, "scan_runs").select(F.col("run_id").alias("page_id"), F.lit(1).alias("rung"), F.lit(0).cast("int").alias("rank"), F.lit("cached").alias("strategy_id"), (F.col("run_id") % 4 == 0).alias("accepted"))
-    return pages.ladder(ranks.unionByName(cached))
-
-
 def _pager(spark: SparkSession, root: str) -> DataFrame:
     r = table(spark, root, "scan_runs")
     link = lambda k: F.concat(F.lit("https://p.example/"), F.col("source_id"), F.lit("/"), F.col("seq") + k)
@@ -121,9 +131,8 @@ def _pager(spark: SparkSession, root: str) -> DataFrame:
 
 
 def next_page(spark: SparkSession, root: str) -> DataFrame:
-    p = _pager(spark, root)
-    html = F.concat(F.lit('<a href="#x">Avanti</a><a href="/doc.pdf">Avanti</a><a href="https://o.example/">Next</a><a class="n" href="'), "next_url", F.lit('">Pagina successiva</a>'))
-    return pages.next_links(p.select("url", html.alias("html")))
+    """The next page of every page of every run's list."""
+    return pages.next_links(world.list_pages(spark, root).select("url", "html"))
 
 
 def page_walk(spark: SparkSession, root: str) -> DataFrame:
@@ -198,7 +207,7 @@ def latest_run(spark: SparkSession, root: str) -> DataFrame:
 
 
 def strategy_pool(spark: SparkSession, root: str) -> DataFrame:
-    return _pool(spark, root).orderBy(F.desc("times_worked"), "pool_pos").limit(50).select("strategy_id", "times_worked")
+    return pages.pool_top(_pool(spark, root)).select("strategy_id", "times_worked")
 
 
 def dedup_pool(spark: SparkSession, root: str) -> DataFrame:
@@ -228,6 +237,7 @@ def source_outcomes(spark: SparkSession, root: str) -> DataFrame:
 
 
 def track_record(spark: SparkSession, root: str) -> DataFrame:
+    """Credits and blames of every run; sources without selector are no strategies."""
     pool = _pool(spark, root).select("strategy_id", "times_worked", F.lit(0).alias("times_failed"))
     r = table(spark, root, "scan_runs").select(F.col("source_id").alias("strategy_id"), "status")
     return merge.track_record(pool, r.where("status = 'ok'"), r.where("status = 'error'"))
@@ -262,7 +272,9 @@ def category_coerce(spark: SparkSession, root: str) -> DataFrame:
 
 
 def deadline_coerce(spark: SparkSession, root: str) -> DataFrame:
-    raw = F.when(F.col("grant_id") % 5 == 0, F.lit(" 2026-02-30 ")).when(F.col("grant_id") % 5 == 1, F.lit("a sportello")).otherwise(F.concat(F.lit(" "), F.col("deadline").cast("string")))
+    k = F.col("grant_id") % 6
+    day = F.coalesce(F.col("deadline").cast("string"), F.lit("n/d"))
+    raw = F.when(k == 0, F.concat(F.substring(day, 1, 4), F.lit("-02-30"))).when(k == 1, F.concat(F.lit("entro il "), day)).when(k == 2, F.concat(F.lit("\u00a0"), day, F.lit("\n"))).when(k == 3, F.concat(day, F.lit("T12:00"))).when(k == 4, F.replace(day, F.lit("-"), F.lit("/"))).otherwise(day)
     return table(spark, root, "grants").select("grant_id", V.deadline(raw).alias("d")).select("grant_id", F.col("d.value").cast("string").alias("deadline"), F.coalesce("d.failed", F.lit(False)).alias("failed"))
 
 
@@ -271,25 +283,37 @@ def requirements_clean(spark: SparkSession, root: str) -> DataFrame:
 
 
 def json_dig(spark: SparkSession, root: str) -> DataFrame:
-    made = F.concat(F.lit('{"a": [{"b": '), F.coalesce("props", F.lit("{}")), F.lit("}], \"c\": [1, 2]}"))
+    """Paths into objects that hold the events' properties at several depths, in lists and not."""
+    p = F.coalesce("props", F.lit("{}"))
+    k = F.col("event_id") % 5
+    wrap = lambda before, after: F.concat(F.lit(before), p, F.lit(after))
+    made = F.when(k == 0, wrap('{"a": [{"b": ', '}], "c": [1, 2]}')).when(k == 1, wrap('{"a": {"b": [', ', 5]}, "c": ["x"]}')).when(k == 2, wrap('{"a": {"b": ', '}, "c": {"d": "e"}}')).when(k == 3, wrap('[{"a": {"b": ', '}, "c": []}]')).otherwise(wrap('{"a": 4, "z": ', ', "c": "testo"}'))
     e = table(spark, root, "events").select("event_id", made.alias("j"))
     return e.select("event_id", V.dig(F.col("j"), "a.b.k").alias("k"), V.dig(F.col("j"), "c").alias("c"), V.dig(F.col("j"), "a.x.y").alias("missing"))
 
 
 def payload_text(spark: SparkSession, root: str) -> DataFrame:
     c = table(spark, root, "candidates")
-    made = F.concat(F.lit('{"summary": "s'), F.col("pos").cast("string"), F.lit('", "metadata": {"budget": ["'), F.col("candidate_id").cast("string"), F.lit('"], "duration": "", "deadlineModel": "m"}}'))
+    n = F.col("candidate_id").cast("string")
+    extra = F.when(F.col("pos") % 3 == 0, F.concat(F.lit('"callTitle": ["C'), n, F.lit('", "z"], "programmeDivision": [], "other": "no", '))).when(F.col("pos") % 3 == 1, F.concat(F.lit('"closingDate": null, "description": "d '), n, F.lit('", '))).otherwise(F.lit(""))
+    summary = F.when(F.col("pos") % 2 == 0, F.concat(F.lit('"summary": "s'), F.col("pos").cast("string"), F.lit('", '))).otherwise(F.lit('"summary": "", '))
+    made = F.concat(F.lit("{"), summary, F.lit('"metadata": {'), extra, F.lit('"budget": ['), n, F.lit('], "duration": "", "deadlineModel": "m"}}'))
     return c.select("candidate_id", V.payload_text(F.col("title"), made, F.col("url")).alias("text"))
 
 
 def _responses(spark: SparkSession, root: str) -> DataFrame:
-    """Model responses made from the grants: whole, broken, without grant, without title, with a wrong score."""
+    """Model responses around the grants' own values: whole, broken, without grant, overlong, with impossible days and scores out of range."""
     g = table(spark, root, "grants")
-    score = F.when(F.col("grant_id") % 11 == 0, F.lit("1.5")).otherwise(F.lit("0.5"))
-    title = F.when(F.col("grant_id") % 7 == 0, F.lit("")).otherwise(F.lit("Titolo"))
-    whole = F.concat(F.lit('{"grant": {"title": "'), title, F.lit('", "category": "training ", "deadline": "'), F.coalesce(F.col("deadline").cast("string"), F.lit("n/a")), F.lit('", "funding_max": "€10.000,50", "requirements": [" a ", ""]}, "relevance": [{"topic_id": "t", "score": '), score, F.lit("}]}"))
-    first = F.when(F.col("grant_id") % 13 == 0, F.lit("no json")).when(F.col("grant_id") % 5 == 0, F.lit('{"grant": null, "relevance": []}')).otherwise(whole)
-    return g.select("grant_id", first.alias("first"), F.when(F.col("grant_id") % 2 == 0, F.lit('{"grant": {"title": "Secondo"}}')).otherwise(F.lit("{")).alias("second"))
+    k = F.col("grant_id") % 12
+    grant = F.to_json(F.struct(
+        F.when(k != 7, F.coalesce(F.nullif("title", F.lit("")), F.lit("Senza"))).alias("title"), F.when(k == 8, F.repeat(F.lit("i"), 301)).otherwise(F.col("issuer")).alias("issuer"), F.col("category"),
+        F.when(k == 6, F.lit("2026-02-30")).otherwise(F.coalesce(F.col("deadline").cast("string"), F.lit("a sportello"))).alias("deadline"), F.col("funding_text").alias("funding_max"), "requirements",
+    ))
+    score = F.when(k == 9, F.lit("1.5")).when(k == 10, F.lit("-0.1")).otherwise(F.lit("0.5"))
+    whole = F.concat(F.lit('{"grant": '), grant, F.lit(', "relevance": [{"topic_id": "t", "score": '), score, F.lit("}]}"))
+    first = F.when(k == 0, F.lit("no json")).when(k == 1, F.lit('{"grant": null, "relevance": []}')).when(k == 2, F.lit('{"relevance": []}')).when(k == 3, F.concat(F.lit("["), whole, F.lit("]"))).when(k == 4, F.expr("left(w, length(w) - 2)")).otherwise(whole)
+    second = F.when(F.col("grant_id") % 2 == 0, F.lit('{"grant": {"title": "Secondo"}}')).when(F.col("grant_id") % 3 == 0, F.lit('{"grant": null}')).otherwise(F.lit("{"))
+    return g.withColumn("w", whole).select("grant_id", first.alias("first"), second.alias("second"))
 
 
 def extraction_validate(spark: SparkSession, root: str) -> DataFrame:
@@ -310,8 +334,11 @@ def rule_validate(spark: SparkSession, root: str) -> DataFrame:
 
 
 def scrub_text(spark: SparkSession, root: str) -> DataFrame:
-    made = F.concat(F.col("text"), F.lit(" a.b@c.example "), F.lit("sk-"), F.repeat(F.lit("a1"), 9), F.lit(" Authorization: Bearer abc, fine"))
-    return table(spark, root, "documents").select("doc_id", S.scrub(made, ["hunter2hunter2"]).alias("text"))
+    """Documents with every shape of secret, and two literal ones of which one begins the other; keys are put together here, none is one."""
+    keys = [F.concat(F.lit(" " + a), F.lit(b), F.repeat(F.lit("a1"), 12)) for a, b in (("s", "k-"), ("r", "e_"), ("gh", "p_"), ("github", "_pat_"), ("sb_", "secret_"))]
+    token = F.concat(F.lit(" ey"), F.lit("J"), F.repeat(F.lit("b2"), 5), F.lit("."), F.repeat(F.lit("c3"), 5), F.lit(".d4"))
+    made = F.concat(F.col("text"), F.lit(" a.b@c.example hunter2hunter2-x hunter2hunter2 corto"), *keys, token, F.lit(" Authorization: Bearer abc, fine\nApi-Key=xyz; ok"))
+    return table(spark, root, "documents").select("doc_id", S.scrub(made, ["hunter2hunter2", "corto", "hunter2hunter2-x"]).alias("text"))
 
 
 def api_candidates(spark: SparkSession, root: str) -> DataFrame:
@@ -322,12 +349,25 @@ def api_candidates(spark: SparkSession, root: str) -> DataFrame:
     return readers.api_items(pages_, "esiti", "metadata.u", "titolo").select(F.col("source_id").alias("run_id"), "url", "title")
 
 
+def _feeds(spark: SparkSession, root: str) -> DataFrame:
+    """A feed of every run: RSS, Atom, one that breaks off behind its last entry, or a page that is none."""
+    c = table(spark, root, "candidates").join(_base(table(spark, root, "sources")), "source_id").withColumn("u", _escape(U.canonical_url(F.col("url"), F.col("base"))))
+    t = _escape(F.coalesce("title", F.lit("")))
+    item = F.concat(F.lit("<item><title>"), t, F.lit("</title><link>"), "u", F.lit("</link></item>"))
+    entry = F.concat(F.lit("<entry><title>"), t, F.lit('</title><link rel="alternate" href="'), "u", F.lit('"/></entry>'))
+    k = F.col("run_id") % 4
+    joined = lambda n: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "candidate_id", n.alias("x")))), lambda x: x["x"]), "")
+    made = c.groupBy("run_id").agg(joined(item).alias("i"), joined(entry).alias("e"))
+    xml = F.when(k == 1, F.concat(F.lit("<feed><title>f</title>"), "e", F.lit("<entry><title>senza</title></entry></feed>"))).when(k == 3, F.lit("<html><body>errore")).otherwise(F.concat(F.lit("<rss><channel><title>f</title>"), "i", F.lit("<item><title>senza</title></item></channel></rss>")))
+    return made.select(F.col("run_id").cast("string").alias("source_id"), xml.alias("xml"))
+
+
 def rss_candidates(spark: SparkSession, root: str) -> DataFrame:
-    c = table(spark, root, "candidates").join(_base(table(spark, root, "sources")), "source_id").withColumn("u", U.canonical_url(F.col("url"), F.col("base")))
-    item = F.concat(F.lit("<item><title>"), _escape(F.coalesce("title", F.lit(""))), F.lit("</title><link>"), _escape(F.col("u")), F.lit("</link></item>"))
-    made = c.groupBy("run_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "candidate_id", item.alias("x")))), lambda x: x["x"]), "").alias("x"))
-    feeds = made.select(F.col("run_id").cast("string").alias("source_id"), F.concat(F.lit("<rss><channel>"), "x", F.lit("</channel></rss>")).alias("xml"))
-    return readers.feed_items(feeds).select(F.col("source_id").alias("run_id"), "pos", "url", "title")
+    return readers.feed_items(_feeds(spark, root)).select(F.col("source_id").alias("run_id"), "pos", "url", "title")
+
+
+def rss_outcomes(spark: SparkSession, root: str) -> DataFrame:
+    return readers.feed_outcomes(_feeds(spark, root)).select(F.col("source_id").alias("run_id"), "entries", "error")
 
 
 def page_urls(spark: SparkSession, root: str) -> DataFrame:
@@ -336,15 +376,17 @@ def page_urls(spark: SparkSession, root: str) -> DataFrame:
 
 
 def prompts(spark: SparkSession, root: str) -> DataFrame:
-    topics = F.array(*[F.struct(F.lit(f"t{k}").alias("id"), F.lit(name).alias("name")) for k, name in enumerate(("energia", "ricerca"))])
-    c = table(spark, root, "candidates")
-    return c.select("candidate_id", V.prompt(F.col("url"), topics, F.col("text")).alias("prompt"))
+    """What a model is asked about each candidate, with topics made of the portals' types; with none where the candidate's number is divisible by seven."""
+    made = table(spark, root, "sources").groupBy("type").agg(F.count("*").alias("n")).select(F.concat(F.lit("t-"), "type").alias("id"), F.col("type").alias("name"), F.when(F.col("n") > 8, F.concat(F.lit("da "), F.col("n").cast("string"))).alias("description"))
+    every = V.topic_list(made)
+    c = table(spark, root, "candidates").join(F.broadcast(every), F.lit(True))
+    return c.select("candidate_id", V.prompt(F.col("url"), F.when(F.col("candidate_id") % 7 != 0, F.col("topics")), F.col("text")).alias("prompt"))
 
 
 QUERIES = {f.__name__: f for f in (
     canonical_urls, url_hashes, content_hashes, clean_pages, clean_diagnostics, condense_html, link_candidates, gate_verdicts, gate_accepted, page_fingerprints,
-    ladder_ranks, ladder_winner, next_page, page_walk, snapshot_diff, snapshot_upsert, grant_upsert, title_normalise, soft_duplicates, error_streaks, autodraft_fires,
+    ladder_ranks, next_page, page_walk, snapshot_diff, snapshot_upsert, grant_upsert, title_normalise, soft_duplicates, error_streaks, autodraft_fires,
     schedule_windows, schedule_gate, latest_run, strategy_pool, dedup_pool, active_sources, known_url_hashes, run_summary, source_outcomes, track_record, budget_admission,
     source_budgets, relevance_topics, amount_parse, category_coerce, deadline_coerce, requirements_clean, json_dig, payload_text, extraction_validate, quarantine,
-    rule_validate, scrub_text, api_candidates, rss_candidates, page_urls, prompts,
+    rule_validate, scrub_text, api_candidates, rss_candidates, rss_outcomes, page_urls, prompts,
 )}

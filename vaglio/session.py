@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
 import os
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -11,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SHIPPED = "vaglio.shipped"
+_KEPT: dict[tuple[str, str, str], DataFrame | tuple[DataFrame, ...]] = {}
 
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -25,7 +29,9 @@ def ship(spark: SparkSession) -> None:
         return
     here = Path(__file__).resolve().parent
     # Only the driver reads this file: addPyFile sends its content to every executor.
-    archive = os.path.join(tempfile.mkdtemp(prefix="vaglio-"), "vaglio.zip")
+    folder = tempfile.mkdtemp(prefix="vaglio-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = os.path.join(folder, "vaglio.zip")
     with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
         for path in sorted(here.rglob("*.py")):
             z.write(path, f"vaglio/{path.relative_to(here)}")
@@ -43,7 +49,9 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = "file://" + tempfile.mkdtemp(prefix="vaglio-checkpoint-")
+    own = tempfile.mkdtemp(prefix="vaglio-checkpoint-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    folder = "file://" + own
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
@@ -56,6 +64,20 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def once(build):
+    """What build(spark, root) gives, durable, and the same again within an application: a run computes once what several queries report on."""
+
+    @functools.wraps(build)
+    def kept(spark: SparkSession, root: str):
+        key = (spark.sparkContext.applicationId, build.__qualname__, root)
+        if key not in _KEPT:
+            got = build(spark, root)
+            _KEPT[key] = tuple(durable(d) for d in got) if isinstance(got, tuple) else durable(got)
+        return _KEPT[key]
+
+    return kept
+
+
 def small_side(df: DataFrame, limit: int = 200_000) -> tuple[DataFrame, bool]:
     """df, broadcast if it is counted to have at most limit rows; else unchanged for a shuffle join."""
     rows = df.limit(limit + 1).count()
