@@ -57,23 +57,34 @@ def p7_fill(spark: SparkSession, root: str) -> DataFrame:
 
 
 def p8_found(spark: SparkSession, root: str) -> DataFrame:
-    return leakage.leaks(table(spark, root, "documents"), table(spark, root, "eval_items")).select("doc_id", "item_id")
+    return leakage.exact(leakage.leaks(table(spark, root, "documents"), table(spark, root, "eval_items")))
 
 
 def p8_leak_lengths(spark: SparkSession, root: str) -> DataFrame:
     return leakage.leaks(table(spark, root, "documents"), table(spark, root, "eval_items"))
 
 
+_FIELDS: dict[tuple[str, str], toxicity.Field] = {}
+
+
+def _scored(spark: SparkSession, root: str) -> DataFrame:
+    """Scores of all documents by the field fitted to the labels, once an application and data folder."""
+    key = (spark.sparkContext.applicationId, root)
+    if key not in _FIELDS:
+        _FIELDS[key] = toxicity.fit(table(spark, root, "documents"), table(spark, root, "moderation_labels"))
+    return toxicity.score_documents(table(spark, root, "documents"), _FIELDS[key])
+
+
 def p9_found(spark: SparkSession, root: str) -> DataFrame:
-    return toxicity.categories(toxicity.score_documents(table(spark, root, "documents"), table(spark, root, "moderation_labels")))
+    return toxicity.categories(_scored(spark, root))
 
 
 def p9_scores(spark: SparkSession, root: str) -> DataFrame:
-    return toxicity.score_documents(table(spark, root, "documents"), table(spark, root, "moderation_labels"))
+    return _scored(spark, root)
 
 
 def p9_source_rates(spark: SparkSession, root: str) -> DataFrame:
-    return toxicity.source_rates(toxicity.score_documents(table(spark, root, "documents"), table(spark, root, "moderation_labels")))
+    return toxicity.source_rates(_scored(spark, root))
 
 
 QUERIES = {

@@ -1,21 +1,25 @@
 """Abusive, hateful or sexual content.
 
 Method: a linear-chain conditional random field with the states clean, abusive, hateful and sexual tags
-every token of a sentence. The labels name documents, so tokens are labelled by multiple-instance
-learning: in each document labelled bad, the sentence that tells it best from clean ones carries the
-label; the field is trained, chooses the sentences again, and is trained again. Forward-backward gives
-each token's marginals; a document's score for a category is the highest mean marginal of a window of
-tokens, and the offsets of tokens beyond the threshold are its offending spans.
-
-The training sample is bounded (SAMPLE); scoring covers every document and its whole text. Sentences
-repeat much in web text, so each task keeps the scores of sentences it has met.
+every token of a sentence. The labels name documents, not tokens, so what is observed of a sentence that bears a bad
+label is only that at least one of its tokens is in that state, and the others are in it or clean: the field is trained on
+the difference of two forward-backward passes, one over all paths and one over the paths that this allows. Which sentence of
+a document bears its label is learnt by multiple instances between two halves of the sample: in each document
+labelled bad, the sentence that the other half tells best from clean ones bears it. There is no list of words. The forward and
+backward passes make the scores: a sentence's score for a category is the probability that some token of it is in that state, a document's the highest
+of its sentences', and the tokens whose marginals are beyond the threshold are its offending spans.
+
+Fitting and scoring are apart: fit() trains on a bounded sample (SAMPLE), and a field can be stored and read again;
+score_documents() covers every document and its whole text.
 """
 
 from __future__ import annotations
 
 import functools
+import io
 import re
-from collections import OrderedDict, defaultdict
+import uuid
+from collections import defaultdict
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -27,31 +31,24 @@ from pyspark.sql import functions as F
 from vaglio.llm.leakage import fold
 
 STATES = ("clean", "abusive", "hateful", "sexual")
-#: Labelled documents of each label used for training, the first by hash of their id.
-SAMPLE = 1500
+#: Labelled documents used for training, of each bad label and of clean ones, the first by hash of their id.
+SAMPLE, CLEAN_SAMPLE = 1500, 5000
 #: Score from which a document counts as bad.
-THRESHOLD = 0.35
-#: Tokens of the window whose mean marginal makes the score.
-WINDOW = 5
+THRESHOLD = 0.5
 #: Characters of a sentence given to the field at once; a longer one is cut at blanks.
 PIECE = 600
-#: What an entry of the lexicon weighs before training.
-LEXICAL_WEIGHT = 8.0
 BUCKETS = 1 << 18
 EPOCHS, ROUNDS = 5, 2
-#: Sentences whose scores a task keeps, the least recently used leave first.
-KEPT = 100_000
-
-#: Words that make a token suspect, by category. They start as features of some weight; training decides.
-LEXICON = {
-    "abusive": "idiota idioti cretino cretini imbecille imbecilli stronzo stronzi coglione coglioni bastardo bastardi vaffanculo merda deficiente deficienti pagliaccio pagliacci verme vermi schifoso schifosi cazzo crepa idiot idiots moron morons asshole assholes bastard bastards scumbag scumbags loser losers bitch fuck arschloch arschlöcher vollidiot vollidioten scheiße wichser hurensohn",
-    "hateful": "animali inferiore inferiori subumani razza bastone cacciati bruciare vermin subhuman trash ungeziefer untermenschen rausgeworfen parassiti feccia deport negro negri zingari gypsies terroni",
-    "sexual": "porno porn pornos sesso scopare scopate leccarti tette orge masturbazione nudi nude sex geile cams vogliose calde hot escort troia fick ficken",
-}
+#: What a sentence that bears a bad label weighs against a clean one.
+BAD = 2.0
+#: Sentences whose scores a task keeps.
+KEPT = 200_000
 
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 _TOKEN = re.compile(r"[^\W_](?:[\w*@$#!|]|(?<=\w)['’](?=\w))*|[*@$]+\w[\w*@$]*")
 _SPACED = re.compile(r"(?<!\S)(?:[^\W_] ){1,}[^\W_](?![^\s.,;:!?])")
+#: Stars around words are emphasis, stars in a word are a mask.
+_EMPHASIS = re.compile(r"(?<![\w*])\*{1,3}([^*\n]*[^\s*\n])\*{1,3}(?![\w*])")
 _LEET = str.maketrans("013457@$!|", "oieastasil")
 _NUMBERED = re.compile(r"([a-z]+)\d{2,}$")
 _DOUBLE = re.compile(r"(.)\1+")
@@ -96,36 +93,39 @@ def _id(name: str) -> int:
     return crc32(name.encode()) % (BUCKETS - 1) + 1
 
 
-_LEXICAL = {squash(w): s for s, words in LEXICON.items() for w in fold(words).split()}
-
-
 @functools.lru_cache(maxsize=200_000)
 def _own_ids(w: str) -> tuple[int, ...]:
-    """Feature numbers of a token by itself: the word, its character runs, its entry in the lexicon."""
+    """Feature numbers of a token by itself: the word and its character runs."""
     padded = f"^{w}$"
     names = [f"w={w}"]
     names += {f"c={padded[k : k + 3]}" for k in range(len(padded) - 2)} if len(w) > 2 else ()
     names += {f"d={padded[k : k + 5]}" for k in range(len(padded) - 4)} if len(w) > 3 else ()
-    if w in _LEXICAL:
-        names.append(f"lex={_LEXICAL[w]}")
     if "*" in w:
         names.append("masked")
     return tuple(_id(x) for x in names)
 
 
-def features_of(words: list[str]) -> list[list[int]]:
-    """Feature numbers of each token: its own, its neighbours and its pairs with them."""
-    around = ["<s>", *words, "</s>"]
-    out = []
-    for i, w in enumerate(words):
-        before, after = around[i], around[i + 2]
-        out.append([*_own_ids(w), _id(f"b={before}"), _id(f"a={after}"), _id(f"bw={before} {w}"), _id(f"wa={w} {after}")])
-    return out
+START, STOP = "<s>", "</s>"
+
+
+@functools.lru_cache(maxsize=200_000)
+def _number(w: str) -> int:
+    return crc32(w.encode())
 
 
-def _logsumexp(x: np.ndarray, axis: int) -> np.ndarray:
-    top = x.max(axis=axis, keepdims=True)
-    return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis=axis))
+def pair_ids(kind: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Feature numbers of two words side by side, off their numbers."""
+    h = a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + b.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(kind)
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+    return ((h >> np.uint64(33)) % np.uint64(BUCKETS - 1)).astype(np.int64) + 1
+
+
+def features_of(words: list[str]) -> list[list[int]]:
+    """Feature numbers of each token: its own, its neighbours and its pairs with them."""
+    around = [START, *words, STOP]
+    n = np.array([_number(w) for w in around], np.uint64)
+    before, after = pair_ids(1, n[:-2], n[1:-1]).tolist(), pair_ids(2, n[1:-1], n[2:]).tolist()
+    return [[*_own_ids(w), _id(f"b={around[i]}"), _id(f"a={around[i + 2]}"), before[i], after[i]] for i, w in enumerate(words)]
 
 
 class Field:
@@ -133,14 +133,55 @@ class Field:
 
     def __init__(self) -> None:
         self.w = np.zeros((BUCKETS, len(STATES)), np.float32)
-        self.t = np.zeros((len(STATES), len(STATES)), np.float32)
-        for k, s in enumerate(STATES):
-            self.t[k, k] = 1.0
+        self.t = np.eye(len(STATES), dtype=np.float32)
+
+    @staticmethod
+    def passes(e: np.ndarray, valid: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Marginals, scaled forward and backward values, log partition and emission factors, of emissions e (batch x longest x states)."""
+        top = e.max(2)
+        f = np.exp(e - top[:, :, None])
+        step = np.exp(t)
+        longest = e.shape[1]
+        alpha, beta = np.zeros_like(f), np.ones_like(f)
+        z = np.where(valid, top, 0).sum(1)
+        alpha[:, 0] = f[:, 0]
+        for k in range(longest):
             if k:
-                self.w[_id(f"lex={s}"), k] = LEXICAL_WEIGHT
-
-    def marginals(self, batch: list[np.ndarray]) -> np.ndarray:
-        """Batch x longest x states; batch holds tokens x features, padded with feature 0."""
+                alpha[:, k] = np.where(valid[:, k, None], (alpha[:, k - 1] @ step) * f[:, k], alpha[:, k - 1])
+            size = alpha[:, k].sum(1)
+            alpha[:, k] /= size[:, None]
+            z += np.log(size)
+        for k in range(longest - 2, -1, -1):
+            back = (f[:, k + 1] * beta[:, k + 1]) @ step.T
+            back /= back.sum(1, keepdims=True)
+            beta[:, k] = np.where(valid[:, k + 1, None], back, 1)
+        p = alpha * beta
+        p /= p.sum(2, keepdims=True)
+        p[~valid] = 0
+        return p, alpha, beta, z, f
+
+    @staticmethod
+    def some(e: np.ndarray, valid: np.ndarray, t: np.ndarray) -> np.ndarray:
+        """Probability that at least one token of a sentence is in a state, by state other than clean: batch x states.
+
+        One less the share of the paths that avoid it, by one forward pass over all states and one for each that is left out.
+        """
+        f = np.exp(e - e.max(2)[:, :, None])
+        step = np.exp(t)
+        gates = np.ones((len(STATES), len(STATES)), np.float32)  # no state left out, then each of the bad ones
+        gates[np.arange(1, len(STATES)), np.arange(1, len(STATES))] = 0
+        alpha = f[:, 0, None, :] * gates[None]
+        z = np.log(alpha.sum(2))
+        alpha /= alpha.sum(2, keepdims=True)
+        for k in range(1, f.shape[1]):
+            new = (alpha @ step) * f[:, k, None, :] * gates[None]
+            size = np.maximum(new.sum(2), 1e-30)
+            alpha = np.where(valid[:, k, None, None], new / size[:, :, None], alpha)
+            z += np.where(valid[:, k, None], np.log(size), 0)
+        return np.clip(1 - np.exp(z[:, 1:] - z[:, :1]), 0, 1)
+
+    def emissions(self, batch: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Feature numbers, which tokens there are, and emissions; batch holds tokens x features, padded with feature 0."""
         longest = max(len(x) for x in batch)
         width = max(x.shape[1] for x in batch)
         index = np.zeros((len(batch), longest, width), np.int32)
@@ -150,22 +191,49 @@ class Field:
             valid[i, : len(x)] = True
         e = self.w[index].sum(2)
         e[~valid] = 0
-        alpha, beta = np.zeros_like(e), np.zeros_like(e)
-        alpha[:, 0] = e[:, 0]
-        for k in range(1, longest):
-            step = _logsumexp(alpha[:, k - 1, :, None] + self.t, 1) + e[:, k]
-            alpha[:, k] = np.where(valid[:, k, None], step, alpha[:, k - 1])
-        for k in range(longest - 2, -1, -1):
-            step = _logsumexp(self.t[None] + (e[:, k + 1] + beta[:, k + 1])[:, None, :], 2)
-            beta[:, k] = np.where(valid[:, k + 1, None], step, 0)
-        z = _logsumexp(alpha[:, -1], 1)
-        p = np.exp(alpha + beta - z[:, None, None])
-        p[~valid] = 0
-        self._last = (index, valid, e, alpha, beta, z)
-        return p
+        return index, valid, e
 
-    def fit(self, rows: list[tuple[np.ndarray, np.ndarray, float]], epochs: int, rate: float = 0.25, keep: float = 1e-5) -> None:
-        """AdaGrad on the log likelihood. rows: features, states, weight. Deterministic order."""
+    def marginals(self, batch: list[np.ndarray]) -> np.ndarray:
+        """Batch x longest x states."""
+        _, valid, e = self.emissions(batch)
+        return self.passes(e, valid, self.t)[0]
+
+    @staticmethod
+    def _steps(alpha: np.ndarray, beta: np.ndarray, f: np.ndarray, valid: np.ndarray, t: np.ndarray) -> np.ndarray:
+        """Expected transitions of each sentence: batch x states x states, summed over its steps."""
+        out = np.zeros((len(f), t.shape[0], t.shape[0]), np.float32)
+        for k in range(1, f.shape[1]):
+            both = alpha[:, k - 1, :, None] * np.exp(t)[None] * (f[:, k] * beta[:, k])[:, None, :]
+            both /= both.sum((1, 2), keepdims=True)
+            out += both * valid[:, k, None, None]
+        return out
+
+    def observed(self, e: np.ndarray, valid: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Marginals and expected transitions given the sentences' labels: all tokens clean where y is 0, else at least one in state y and the rest in it or clean."""
+        q = np.zeros_like(e)
+        steps = np.zeros((len(e), len(STATES), len(STATES)), np.float32)
+        n = valid.sum(1)
+        clean = y == 0
+        q[clean, :, 0] = valid[clean]
+        steps[clean, 0, 0] = n[clean] - 1
+        for s in range(1, len(STATES)):
+            rows = np.flatnonzero(y == s)
+            if not len(rows):
+                continue
+            two = [0, s]
+            e2, v2, t2 = e[rows][:, :, two], valid[rows], self.t[np.ix_(two, two)]
+            p, alpha, beta, z, f = self.passes(e2, v2, t2)
+            none = np.exp(np.minimum(np.where(v2, e2[:, :, 0], 0).sum(1) + (n[rows] - 1) * t2[0, 0] - z, 0))
+            some = np.maximum(1 - none, 1e-4)
+            bad = np.minimum(p[:, :, 1] / some[:, None], 1) * v2
+            q[rows, :, s], q[rows, :, 0] = bad, (1 - bad) * v2
+            two_steps = self._steps(alpha, beta, f, v2, t2)
+            two_steps[:, 0, 0] -= none * (n[rows] - 1)
+            steps[np.ix_(rows, two, two)] = np.maximum(two_steps, 0) / some[:, None, None]
+        return q, steps
+
+    def fit(self, rows: list[tuple[np.ndarray, int, float]], epochs: int, rate: float = 0.25, keep: float = 1e-5) -> None:
+        """AdaGrad on the log likelihood of the labels. rows: features, state the sentence bears, weight. Deterministic order."""
         gw, gt = np.full(self.w.shape, 1e-3, np.float32), np.full(self.t.shape, 1e-3, np.float32)
         order = sorted(range(len(rows)), key=lambda i: len(rows[i][0]))
         groups = [order[i : i + 256] for i in range(0, len(order), 256)]
@@ -173,36 +241,39 @@ class Field:
         for _ in range(epochs):
             for g in picks.permutation(len(groups)):
                 part = [rows[i] for i in groups[g]]
-                p = self.marginals([x for x, _, _ in part])
-                index, valid, e, alpha, beta, z = self._last
-                gold = np.zeros_like(p)
+                index, valid, e = self.emissions([x for x, _, _ in part])
                 weight = np.array([c for _, _, c in part], np.float32)
-                pair = np.zeros_like(self.t)
-                for i, (_, y, c) in enumerate(part):
-                    gold[i, np.arange(len(y)), y] = 1
-                    np.add.at(pair, (y[:-1], y[1:]), c)
-                slope = (p - gold) * weight[:, None, None]
+                p, alpha, beta, _, f = self.passes(e, valid, self.t)
+                q, steps = self.observed(e, valid, np.array([y for _, y, _ in part]))
+                slope = ((p - q) * weight[:, None, None])[valid]
                 flat = index[valid]
-                delta = np.zeros_like(self.w)
-                for s in range(len(STATES)):
-                    delta[:, s] = np.bincount(flat.ravel(), weights=np.repeat(slope[valid][:, s], flat.shape[1]), minlength=BUCKETS)
-                delta[0] = 0
-                used = np.flatnonzero(np.abs(delta).sum(1))
-                d = delta[used] + keep * self.w[used]
+                used, inverse = np.unique(flat, return_inverse=True)
+                d = np.stack([np.bincount(inverse.ravel(), weights=np.repeat(slope[:, s], flat.shape[1]), minlength=len(used)) for s in range(len(STATES))], 1).astype(np.float32)
+                d[used == 0] = 0
+                d += keep * self.w[used]
                 gw[used] += d * d
                 self.w[used] -= rate * d / np.sqrt(gw[used])
-                for k in range(1, p.shape[1]):
-                    both = alpha[:, k - 1, :, None] + self.t[None] + (e[:, k] + beta[:, k])[:, None, :] - z[:, None, None]
-                    pair -= (np.exp(both) * (valid[:, k] * weight)[:, None, None]).sum(0)
-                gt += pair * pair
-                self.t += rate * pair / np.sqrt(gt)
-        self._last = None
-
-    def scores(self, batch: list[np.ndarray]) -> list[np.ndarray]:
-        """Token marginals of each sentence."""
-        p = self.marginals(batch)
-        self._last = None
-        return [p[i, : len(x)] for i, x in enumerate(batch)]
+                turn = ((steps - self._steps(alpha, beta, f, valid, self.t)) * weight[:, None, None]).sum(0)
+                gt += turn * turn
+                self.t += rate * turn / np.sqrt(gt)
+
+    def sentences(self, batch: list[np.ndarray]) -> np.ndarray:
+        """Probability by state that a sentence bears it: clean, if no token is bad."""
+        _, valid, e = self.emissions(batch)
+        bad = self.some(e, valid, self.t)
+        return np.concatenate([1 - bad.max(1, keepdims=True), bad], 1)
+
+    def dump(self) -> bytes:
+        used = np.flatnonzero(np.abs(self.w).sum(1))
+        out = io.BytesIO()
+        np.savez_compressed(out, used=used, w=self.w[used], t=self.t)
+        return out.getvalue()
+
+    @classmethod
+    def load(cls, stored: bytes) -> Field:
+        field, held = cls(), np.load(io.BytesIO(stored))
+        field.w[held["used"]], field.t = held["w"], held["t"]
+        return field
 
 
 def pack(words: list[str]) -> np.ndarray:
@@ -213,19 +284,12 @@ def pack(words: list[str]) -> np.ndarray:
     return out
 
 
-def window_score(p: np.ndarray) -> np.ndarray:
-    """Highest mean marginal of WINDOW tokens in a row (of all, if fewer) by state."""
-    k = min(WINDOW, len(p))
-    total = np.cumsum(np.vstack([np.zeros((1, p.shape[1])), p]), 0)
-    return (total[k:] - total[:-k]).max(0) / k
-
-
 def _words(sentence: str) -> tuple[str, ...]:
-    return tuple(w for w, _, _ in tokens_of(close_up(fold(sentence))))
+    return tuple(w for w, _, _ in tokens_of(close_up(_EMPHASIS.sub(r" \1 ", fold(sentence)) if "*" in sentence else fold(sentence))))
 
 
 def train(labelled: list[tuple[str, str]]) -> Field:
-    """The field for documents with labels. Empty samples leave the lexicon's weights."""
+    """The field for documents with labels; without any it knows nothing, and Scorer finds nothing with it."""
     field = Field()
     docs: list[tuple[int, list[tuple[str, ...]]]] = []
     for text, label in labelled:
@@ -249,7 +313,7 @@ def train(labelled: list[tuple[str, str]]) -> Field:
 
     def first(ws: tuple[str, ...], y: int) -> float:
         best = sorted((odds[g][y] for g in grams(ws)), reverse=True)[:6]
-        return sum(best) / 6 + 2.0 * sum(_LEXICAL.get(w) == STATES[y] for w in ws[:60]) / 3
+        return sum(best) / 6
 
     packed: dict[tuple[str, ...], np.ndarray] = {}
     for _, sentences in docs:
@@ -278,7 +342,7 @@ def train(labelled: list[tuple[str, str]]) -> Field:
                 elif turn and known[ws][1:].max() > 0.5:
                     continue  # of another category than the document's one label: no evidence
                 else:
-                    votes[ws][0] += 0.5
+                    votes[ws][0] += 0.25  # most likely clean
         return votes
 
     def fitted(votes: list[dict[tuple[str, ...], np.ndarray]]) -> Field:
@@ -290,7 +354,7 @@ def train(labelled: list[tuple[str, str]]) -> Field:
         for ws in sorted(together):
             c = together[ws]
             y = int(c.argmax())
-            rows.append((packed[ws], np.full(len(ws), y), float(np.clip(2 * c[y] - c.sum(), 0.05, 3.0))))
+            rows.append((packed[ws], y, float(np.clip(2 * c[y] - c.sum(), 0.05, 3.0)) * (BAD if y else 1.0)))
         field = Field()
         field.fit(rows, EPOCHS)
         return field
@@ -302,47 +366,88 @@ def train(labelled: list[tuple[str, str]]) -> Field:
         for field in fields:
             of: dict[tuple[str, ...], np.ndarray] = {}
             for k in range(0, len(every), 512):
-                for ws, p in zip(every[k : k + 512], field.scores([packed[x] for x in every[k : k + 512]])):
-                    of[ws] = window_score(p)
+                for ws, p in zip(every[k : k + 512], field.sentences([packed[x] for x in every[k : k + 512]])):
+                    of[ws] = p
             learnt.append(of)
     return fitted([rows_of(half, ROUNDS) for half in (0, 1)])
 
 
 class Scorer:
-    """Scores texts with a trained field, keeping what it knows of sentences it has met."""
+    """Scores texts with a trained field, keeping what it knows of words and sentences it has met.
 
-    def __init__(self, field: Field):
-        self.field = field
-        self.known: OrderedDict[tuple[str, ...], np.ndarray] = OrderedDict()
+    A word's own weights are added up once; a batch of sentences is laid end to end, with marks between, and its emissions
+    are sums of rows of words and of pairs, without a feature being named.
+    """
 
-    def _learn(self, missing: list[tuple[str, ...]]) -> None:
-        missing.sort(key=len)
-        for k in range(0, len(missing), 256):
-            part = missing[k : k + 256]
-            for ws, p in zip(part, self.field.scores([pack(list(ws)) for ws in part])):
-                self.known[ws] = p
+    def __init__(self, field: Field):
+        self.field, self.taught = field, bool(field.w.any())
+        self.number: dict[str, int] = {}
+        self.hash = np.zeros(1 << 12, np.uint64)
+        self.own = np.zeros((1 << 12, 3, len(STATES)), np.float32)  # of the token itself, of the one behind it, of the one before it
+        self.known: dict[str, tuple[float, ...]] = {}
+        self.start, self.stop = self._word(START), self._word(STOP)
+
+    def _word(self, w: str) -> int:
+        k = self.number.get(w)
+        if k is None:
+            k = self.number[w] = len(self.number)
+            if k >= len(self.hash):
+                self.hash, self.own = np.concatenate([self.hash, np.zeros_like(self.hash)]), np.concatenate([self.own, np.zeros_like(self.own)])
+            self.hash[k] = _number(w)
+            self.own[k] = self.field.w[list(_own_ids(w))].sum(0), self.field.w[_id(f"b={w}")], self.field.w[_id(f"a={w}")]
+        return k
+
+    def marginals(self, sentences: list[tuple[str, ...]], whole: bool = True) -> tuple[list[np.ndarray], np.ndarray]:
+        """Token marginals of each sentence, none of which may be empty, and the probabilities that it has a token in a bad state."""
+        flat, at = [], []
+        for ws in sentences:
+            flat.append(self.start)
+            at.append(len(flat))
+            flat += [self._word(w) for w in ws]
+            flat.append(self.stop)
+        x = np.array(flat)
+        n, own = self.hash[x], self.own
+        e = own[x[1:-1], 0] + own[x[:-2], 1] + own[x[2:], 2] + self.field.w[pair_ids(1, n[:-2], n[1:-1])] + self.field.w[pair_ids(2, n[1:-1], n[2:])]
+        out: list[np.ndarray] = [np.empty(0)] * len(sentences)
+        some = np.zeros((len(sentences), len(STATES) - 1))
+        order = sorted(range(len(sentences)), key=lambda i: len(sentences[i]))
+        for k in range(0, len(order), 1024):
+            part = order[k : k + 1024]
+            size = np.array([len(sentences[i]) for i in part])
+            valid = np.arange(size.max())[None] < size[:, None]
+            padded = np.zeros((len(part), size.max(), len(STATES)), np.float32)
+            padded[valid] = e[np.concatenate([np.arange(at[i] - 1, at[i] - 1 + len(sentences[i])) for i in part])]
+            some[part] = self.field.some(padded, valid, self.field.t)
+            if whole:
+                for i, row, m in zip(part, self.field.passes(padded, valid, self.field.t)[0], size.tolist()):
+                    out[i] = row[:m]
+        return out, some
 
     def texts(self, texts: list[str | None]) -> list[tuple[np.ndarray, list[tuple[int, int, str]]]]:
         """Scores by category, and offending spans (start, end in the text, category) of each text."""
-        cut = [[(at, s, _words(s)) for at, s in sentences_of(t or "")] for t in texts]
-        self._learn(list({ws for rows in cut for _, _, ws in rows if ws and ws not in self.known}))
-        out = []
-        for rows in cut:
-            best = np.zeros(len(STATES))
-            spans = []
-            for at, s, ws in rows:
-                if not ws:
-                    continue
-                p = self.known[ws]
-                score = window_score(p)
-                best = np.maximum(best, score)
+        cut = [list(sentences_of(t or "")) for t in texts]
+        missing = list({s for rows in cut for _, s in rows if s not in self.known})
+        words = [_words(s) for s in missing]
+        for s, ws in zip(missing, words):
+            self.known[s] = (0.0,) * (len(STATES) - 1)
+        full = [(s, ws) for s, ws in zip(missing, words) if ws] if self.taught else []
+        for k in range(0, len(full), 8192):
+            part = full[k : k + 8192]
+            for (s, _), p in zip(part, self.marginals([ws for _, ws in part], whole=False)[1].tolist()):
+                self.known[s] = tuple(p)
+        bad = [(i, at, s) for i, rows in enumerate(cut) for at, s in rows if max(self.known[s]) >= THRESHOLD]
+        spans: list[list[tuple[int, int, str]]] = [[] for _ in texts]
+        if bad:
+            for (i, at, s), p in zip(bad, self.marginals([_words(s) for _, _, s in bad])[0]):
                 for k in range(1, len(STATES)):
-                    if score[k] >= THRESHOLD:
-                        hit = np.flatnonzero(p[:, k] >= THRESHOLD)
-                        spans.append((*_span(s, at, len(ws), hit), STATES[k]))
-            out.append((best[1:], spans))
-        while len(self.known) > KEPT:
-            self.known.popitem(last=False)
+                    if self.known[s][k - 1] >= THRESHOLD:
+                        hit = np.flatnonzero(p[:, k] >= min(THRESHOLD, p[:, k].max()))
+                        spans[i].append((*_span(s, at, len(p), hit), STATES[k]))
+        out = [(np.array([self.known[s] for _, s in rows] or [(0.0,) * (len(STATES) - 1)]).max(0), found) for rows, found in zip(cut, spans)]
+        if len(self.known) > KEPT:
+            self.known.clear()
+        if len(self.number) > KEPT:
+            self.__init__(self.field)
         return out
 
 
@@ -355,7 +460,7 @@ def _span(sentence: str, at: int, n: int, hit: np.ndarray) -> tuple[int, int]:
 
 
 def training_sample(documents: DataFrame, labels: DataFrame) -> list[tuple[str, str]]:
-    """Text and label of at most SAMPLE documents a label: those whose labels agree, first by hash of doc_id."""
+    """Text and label of at most SAMPLE documents a label, and CLEAN_SAMPLE clean ones: those whose labels agree, first by hash of doc_id."""
     agreed = (
         labels.where(F.col("label").isin(*STATES) & F.col("doc_id").isNotNull())
         .groupBy("doc_id")
@@ -365,31 +470,37 @@ def training_sample(documents: DataFrame, labels: DataFrame) -> list[tuple[str,
     )
     chosen = None
     for s in STATES:
-        part = agreed.where(F.col("label") == s).orderBy("h", "doc_id").limit(SAMPLE)
+        part = agreed.where(F.col("label") == s).orderBy("h", "doc_id").limit(SAMPLE if s != "clean" else CLEAN_SAMPLE)
         chosen = part if chosen is None else chosen.unionByName(part)
     rows = documents.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text")).collect()
     return [(r.text, r.label) for r in sorted(rows, key=lambda r: (r.label, r.doc_id))]
 
 
-def score_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
+def fit(documents: DataFrame, labels: DataFrame) -> Field:
+    """The field trained on the sample of labelled documents, on the driver: at most SAMPLE documents a bad label and CLEAN_SAMPLE clean ones, whatever the data."""
+    return train(training_sample(documents, labels))
+
+
+_SCORERS: dict[object, Scorer] = {}
+
+
+def score_documents(documents: DataFrame, field: Field) -> DataFrame:
     """doc_id, source, abusive, hateful, sexual (scores in [0, 1]), spans of every document.
 
-    A null or empty text scores 0 everywhere. Repeated rows are scored each; null ids and sources stay.
-    Without labels the lexicon alone decides. spans: offending start and end offsets with their category.
+    A null or empty text scores 0 everywhere. Repeated rows are scored each; null ids and sources stay. spans: offending
+    start and end offsets with their category.
     """
     spark = documents.sparkSession
-    field = train(training_sample(documents, labels))
-    used = np.flatnonzero(np.abs(field.w).sum(1))
-    sent = spark.sparkContext.broadcast((used, field.w[used], field.t))  # at most BUCKETS rows, whatever the data
+    sent = spark.sparkContext.broadcast(field.dump())  # at most BUCKETS rows, whatever the data
+    name = uuid.uuid4().hex
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        f = Field()
-        index, w, t = sent.value
-        f.w[:] = 0
-        f.w[index], f.t = w, t
-        scorer = Scorer(f)
+        if name not in _SCORERS:  # once a worker
+            _SCORERS.clear()
+            _SCORERS[name] = Scorer(Field.load(sent.value))
+        scorer = _SCORERS[name]
         for batch in batches:
-            found = scorer.texts(list(batch["text"]))
+            found = scorer.texts(batch["text"].tolist())
             yield pd.DataFrame({
                 "doc_id": batch["doc_id"].astype("Int64"),
                 "source": batch["source"],
