@@ -64,15 +64,9 @@ def p8_leak_lengths(spark: SparkSession, root: str) -> DataFrame:
     return leakage.leaks(table(spark, root, "documents"), table(spark, root, "eval_items"))
 
 
-_FIELDS: dict[tuple[str, str], toxicity.Field] = {}
-
-
 def _scored(spark: SparkSession, root: str) -> DataFrame:
-    """Scores of all documents by the field fitted to the labels, once an application and data folder."""
-    key = (spark.sparkContext.applicationId, root)
-    if key not in _FIELDS:
-        _FIELDS[key] = toxicity.fit(table(spark, root, "documents"), table(spark, root, "moderation_labels"))
-    return toxicity.score_documents(table(spark, root, "documents"), _FIELDS[key])
+    documents = table(spark, root, "documents")
+    return toxicity.score_documents(documents, toxicity.fit(documents, table(spark, root, "moderation_labels")))
 
 
 def p9_found(spark: SparkSession, root: str) -> DataFrame:
