@@ -14,14 +14,13 @@ Pages fetched again count once, else a notice's own lines would look like a clas
 
 from __future__ import annotations
 
-import functools
 import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from vaglio.session import durable, small_side
 
@@ -58,26 +57,50 @@ def pages_of(pages: DataFrame) -> DataFrame:
     )
 
 
+def line_key(c: Column) -> Column:
+    """A line's 64-bit key: its blanks at both ends do not count."""
+    return F.xxhash64(F.trim(c))
+
+
 def template_lines(pages: DataFrame) -> DataFrame:
-    """host ('' for all), line: the lines of valid equivalence classes. pages: as pages_of()."""
-    once = pages.withColumn("n", F.row_number().over(W.partitionBy("host", "url").orderBy(F.desc_nulls_last("fetched_at"), "page_id"))).where("n = 1")
-    own = once.select("host", F.array_distinct(F.filter(F.transform("lines", lambda x: F.trim(x)), lambda x: (x != "") & (F.length(x) <= 200))).alias("l"))
-    both = own.select(F.explode(F.array_distinct(F.array("host", F.lit("")))).alias("host"), "l")
-    count = both.select("host", F.explode("l").alias("line")).groupBy("host", "line").agg(F.count("*").alias("n"))
-    often = count.where(F.col("n") >= F.when(F.col("host") == "", ALL_PAGES).otherwise(PAGES))
-    pair = F.filter(
+    """host ('' for all), key: the lines of valid equivalence classes. pages: as pages_of().
+
+    Lines travel as keys of 64 bits, whatever their length. What holds over all hosts is summed from the hosts' own
+    counts, so each page's lines and pairs of lines are counted once, on the map side.
+    """
+    once = pages.select("host", "url", "page_id", "fetched_at", F.array_distinct(F.transform(F.filter(F.transform("lines", lambda x: F.trim(x)), lambda x: x != ""), lambda x: F.xxhash64(x))).alias("l"))
+    # of a page fetched again the newest holds
+    once = once.groupBy("host", "url").agg(F.max(F.struct(F.unix_micros(F.col("fetched_at").cast("timestamp")).alias("t"), (-F.col("page_id")).alias("i"), "l")).alias("m")).select("host", "m.l")
+    once = once.persist(StorageLevel.MEMORY_AND_DISK)  # lost blocks are computed again
+    own = durable(once.select("host", F.explode("l").alias("key")).groupBy("host", "key").agg(F.count("*").alias("n")))
+    far = F.filter(
         F.flatten(F.transform(F.sequence(F.lit(1), F.lit(REACH)), lambda k: F.arrays_zip(F.col("l").alias("a"), F.slice(F.col("l"), k + F.lit(1), F.size("l")).alias("b")))),
         lambda p: p["b"].isNotNull(),
     )
-    beside = both.where(F.size("l") > 1).select("host", F.explode(pair).alias("p")).groupBy("host", "p.a", "p.b").agg(F.count("*").alias("c"))
-    beside = beside.where(F.col("c") >= F.when(F.col("host") == "", ALL_PAGES).otherwise(PAGES))
-    scored = beside.join(often.withColumnsRenamed({"line": "a", "n": "na"}), ["host", "a"]).join(often.withColumnsRenamed({"line": "b", "n": "nb"}), ["host", "b"])
-    size = both.groupBy("host").agg(F.count("*").alias("pages"))
-    low, high = F.least(F.col("c") / F.col("na"), F.col("c") / F.col("nb")), F.greatest(F.col("c") / F.col("na"), F.col("c") / F.col("nb"))
-    steady = F.least("na", "nb") >= STEADY * F.col("pages")
-    # the vectors agree closely, or both lines are on a steady part of the host's pages and the less frequent is mostly with the other
-    valid = scored.join(size, "host").where((low >= CLOSE) | ((F.col("host") != "") & steady & (high >= AGREE)))
-    return valid.select("host", F.explode(F.array("a", "b")).alias("line")).distinct()
+    # a pair can only count where both its lines do: on PAGES pages of the host or ALL_PAGES of all
+    often = own.where(F.col("n") >= PAGES).select("key").unionByName(own.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= ALL_PAGES).select("key")).distinct()
+    known, _ = small_side(durable(often.withColumnRenamed("key", "_k")), 1_000_000)
+    row = F.monotonically_increasing_id()
+    placed = once.select(row.alias("row"), "host", "l").select("row", "host", F.posexplode("l").alias("i", "key")).join(known, F.col("key") == F.col("_k"), "left_semi")
+    kept = placed.groupBy("row", "host").agg(F.array_sort(F.collect_list(F.struct("i", "key"))).alias("l"))
+    near = F.filter(far, lambda p: p["b"]["i"] - p["a"]["i"] <= REACH)
+    pairs = kept.where(F.size("l") > 1).select("host", F.explode(F.transform(near, lambda p: F.struct(p["a"]["key"].alias("a"), p["b"]["key"].alias("b")))).alias("p"))
+    beside = durable(pairs.groupBy("host", "p.a", "p.b").agg(F.count("*").alias("c")))
+    size = once.groupBy("host").agg(F.count("*").alias("pages"))
+
+    def valid(counts: DataFrame, together: DataFrame, least: int, steady: Column) -> DataFrame:
+        often = counts.where(F.col("n") >= least)
+        scored = together.where(F.col("c") >= least).join(often.withColumnsRenamed({"key": "a", "n": "na"}), ["host", "a"]).join(often.withColumnsRenamed({"key": "b", "n": "nb"}), ["host", "b"]).join(size, "host", "left")
+        low, high = F.least(F.col("c") / F.col("na"), F.col("c") / F.col("nb")), F.greatest(F.col("c") / F.col("na"), F.col("c") / F.col("nb"))
+        # the vectors agree closely, or both lines are on a steady part of the host's pages and the less frequent is mostly with the other
+        return scored.where((low >= CLOSE) | (steady & (high >= AGREE))).select("host", F.explode(F.array("a", "b")).alias("key"))
+
+    of_host = valid(own, beside, PAGES, F.least("na", "nb") >= STEADY * F.col("pages"))
+    every = own.groupBy("key").agg(F.sum("n").alias("n")).select(F.lit("").alias("host"), "key", "n")
+    every_beside = beside.groupBy("a", "b").agg(F.sum("c").alias("c")).select(F.lit("").alias("host"), "a", "b", "c")
+    found = durable(of_host.unionByName(valid(every, every_beside, ALL_PAGES, F.lit(False))).distinct())
+    once.unpersist()
+    return found
 
 
 def crumb_prefix(line: str) -> str | None:
@@ -95,8 +118,8 @@ def title_openers(pages: DataFrame) -> list[str]:
     return sorted(r.w for r in counts.where(F.col("count") >= max(2, OPENER * (total or 0))).collect())
 
 
-def furniture(lines: list[str], template: set[str], openers: frozenset[str]) -> list[int]:
-    """Numbers of the lines that are not part of the page's own title and body."""
+def furniture(lines: list[str], template: set[int], openers: frozenset[str]) -> list[int]:
+    """Numbers of the lines that are not part of the page's own title and body. template: numbers of the lines that it holds."""
     bare = [x.strip() for x in lines]
     n = len(bare)
     crumb, title = -1, -1
@@ -109,7 +132,7 @@ def furniture(lines: list[str], template: set[str], openers: frozenset[str]) ->
                     break
         if title >= 0:
             break
-    flagged = [bool(x) and (x in template or CUES.match(x) is not None) for x in bare]
+    flagged = [bool(x) and (i in template or CUES.match(x) is not None) for i, x in enumerate(bare)]
 
     def opens(x: str) -> bool:
         return bool(x) and x.split(None, 1)[0].lower() in openers and not x.endswith((".", ":", ";")) and len(x) <= 200
@@ -140,7 +163,7 @@ def furniture(lines: list[str], template: set[str], openers: frozenset[str]) ->
     # behind a run of three template lines that ends the page's own part, nothing is the page's own
     run = 0
     for i in range(title + 1, n):
-        run = run + 1 if flagged[i] and bare[i] in template and CUES.match(bare[i]) is None else 0
+        run = run + 1 if flagged[i] and i in template and CUES.match(bare[i]) is None else 0
         if run == 3:
             rest = [k for k in range(i + 1, n) if k not in out]
             if len(rest) <= 0.5 * (n - i):
@@ -151,29 +174,28 @@ def furniture(lines: list[str], template: set[str], openers: frozenset[str]) ->
 
 
 def line_flags(pages: DataFrame) -> DataFrame:
-    """page_id, host, lines, numbers (of the lines that are furniture) of each page with text."""
-    spark = pages.sparkSession
+    """page_id, host, lines, numbers (of the lines that are furniture) of each page with text.
+
+    Which lines the template holds is found by a join on host and line key; neither is ever collected. The
+    template is broadcast if it is counted to be small, else shuffled.
+    """
     read = pages_of(pages)
-    found = durable(template_lines(read))
+    found = template_lines(read)
     openers = frozenset(title_openers(read))
-    everywhere = found.where("host = ''").select(F.collect_set("line").alias("common"))
-    by_host, _ = small_side(found.where("host <> ''").groupBy("host").agg(F.collect_set("line").alias("template")), 2000)
-    # what holds over all hosts is bounded: a line must be with its neighbour on most of its pages
-    common = spark.sparkContext.broadcast(frozenset((everywhere.first() or [[]])[0]))
+    template, _ = small_side(found, 500_000)
+    row = F.monotonically_increasing_id()
+    numbered = durable(read.select(row.alias("row"), "page_id", "host", "lines"))
+    keyed = numbered.select("row", "host", F.posexplode(F.transform("lines", line_key)).alias("i", "key")).select("row", "i", "key", F.explode(F.array_distinct(F.array("host", F.lit("")))).alias("host"))
+    held = keyed.join(template, ["host", "key"], "left_semi").groupBy("row").agg(F.collect_set("i").alias("held"))
 
     def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        @functools.lru_cache(maxsize=256)
-        def joined(template: tuple[str, ...]) -> frozenset[str]:
-            return frozenset(template) | common.value
-
         for batch in batches:
             rows = []
-            for page, host, lines, template in zip(batch["page_id"], batch["host"], batch["lines"], batch["template"]):
-                rows.append((page, host, list(lines), furniture(list(lines), joined(tuple(template) if template is not None else ()), openers)))
+            for page, host, lines, inside in zip(batch["page_id"], batch["host"], batch["lines"], batch["held"]):
+                rows.append((page, host, list(lines), furniture(list(lines), set(inside) if inside is not None else set(), openers)))
             yield pd.DataFrame(rows, columns=["page_id", "host", "lines", "numbers"])
 
-    full = read.select("page_id", "host", "lines").join(by_host, "host", "left")
-    return full.mapInPandas(mark, "page_id BIGINT, host STRING, lines ARRAY<STRING>, numbers ARRAY<INT>")
+    return numbered.join(held, "row", "left").select("page_id", "host", "lines", "held").mapInPandas(mark, "page_id BIGINT, host STRING, lines ARRAY<STRING>, numbers ARRAY<INT>")
 
 
 def furniture_lines(pages: DataFrame) -> DataFrame:
