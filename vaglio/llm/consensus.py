@@ -239,14 +239,19 @@ def survivors(grants: DataFrame, sources: DataFrame) -> DataFrame:
 
     def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            agreed: dict[tuple, list[str]] = {}
-            out = []
-            for group, field, value, title, weight, grant, s in batch[["group_id", "field", "value", "title", "weight", "grant_id", "profile"]].itertuples(index=False):
-                if (group, field) not in agreed:
-                    agreed[group, field] = Profile.load(s).consensus(PRESENT[field])
-                out.append((group, field, grant, round(weight, 9), closeness(field, value, title, agreed[group, field])))
+            out = [
+                (group, field, grant, round(weight, 9), closeness(field, value, title, list(agreed)))
+                for group, field, value, title, weight, grant, agreed in batch[["group_id", "field", "value", "title", "weight", "grant_id", "agreed"]].itertuples(index=False)
+            ]
             yield pd.DataFrame(out, columns=["group_id", "field", "grant_id", "weight", "closeness"])
 
-    wide = values.join(profiles, ["group_id", "field"]).mapInPandas(near, "group_id BIGINT, field STRING, grant_id BIGINT, weight DOUBLE, closeness DOUBLE")
+    def settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            batch["agreed"] = [Profile.load(s).consensus(PRESENT[f]) for s, f in zip(batch["profile"], batch["field"])]
+            yield batch[["group_id", "field", "agreed"]]
+
+    # each large group's consensus, which is no longer than a value, is worked out once and goes to its values
+    agreed = profiles.select("group_id", "field", "profile").mapInPandas(settle, "group_id BIGINT, field STRING, agreed ARRAY<STRING>")
+    wide = values.join(agreed, ["group_id", "field"]).mapInPandas(near, "group_id BIGINT, field STRING, grant_id BIGINT, weight DOUBLE, closeness DOUBLE")
     best = wide.groupBy("group_id", "field").agg(F.max(F.struct("closeness", "weight", -F.col("grant_id"), "grant_id")).alias("m"))
     return small.unionByName(best.select("group_id", "field", "m.grant_id", "m.closeness")).where(F.col("closeness") > -0.5)

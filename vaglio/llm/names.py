@@ -246,7 +246,8 @@ def hash_of(gram: str) -> int:
 
 def forms_of(spellings: DataFrame) -> DataFrame:
     """spelling_id, form (its number), kind, core, given, closed of each spelling."""
-    parsed = spellings.select("spelling_id", _parse("issuer").alias("p"), "issuer").select("spelling_id", "issuer", "p.*").where("kind <> 'empty'")
+    # few bytes and much to do with each: a small file's one partition is spread first
+    parsed = spellings.repartition(spellings.sparkSession.sparkContext.defaultParallelism).select("spelling_id", _parse("issuer").alias("p"), "issuer").select("spelling_id", "issuer", "p.*").where("kind <> 'empty'")
     return parsed.withColumn("form", F.xxhash64("kind", "core", "given"))
 
 

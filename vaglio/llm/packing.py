@@ -21,17 +21,18 @@ from pyspark.sql.window import Window as W
 from vaglio.session import durable, small_side
 
 CAPACITY = 2048
-VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+#: Where the vocabulary is: this setting of the session, else this file.
+VOCABULARY_SETTING, VOCABULARY = "spark.vaglio.vocabulary", "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Hash buckets in which the items of one length are ranked.
 BUCKETS = 64
 #: Fixed value: the pre-tokenisation pattern that this vocabulary was made with.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
-def token_counts(documents: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+def token_counts(documents: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """doc_id, tokens of each document with text. The vocabulary is read on the driver and sent to executors (below 1 MB)."""
     spark = documents.sparkSession
-    with open(vocabulary, "rb") as f:
+    with open(vocabulary or spark.conf.get(VOCABULARY_SETTING, VOCABULARY), "rb") as f:
         sent = spark.sparkContext.broadcast(f.read())
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -100,7 +101,7 @@ def items_of(counted: DataFrame, capacity: int) -> DataFrame:
     )
 
 
-def pack(documents: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULARY) -> DataFrame:
+def pack(documents: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = None) -> DataFrame:
     """container_id, doc_id, part, tokens: every item in one container, none over capacity.
 
     Null and empty texts need no room and are left out; a doc_id on several rows is an item on each. Only
