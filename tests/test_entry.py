@@ -21,7 +21,7 @@ def test_every_sql_has_its_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", ["canonical_urls", "clean_pages", "gate_verdicts", "snapshot_upsert", "p3_found", "schedule_gate", "soft_duplicates", "extraction_validate", "rule_validate"])
+@pytest.mark.parametrize("name", ["canonical_urls", "clean_pages", "gate_verdicts", "snapshot_upsert", "p3_found", "schedule_gate", "soft_duplicates", "extraction_validate", "rule_validate", "ladder_run", "process_candidates"])
 def test_queries_equal_their_sql(spark, data, name):
     c = duckdb.connect()
     c.execute("SET timezone = 'UTC'")

@@ -20,6 +20,14 @@ def test_streaks_of_a_file_stream(spark, tmp_path):
     assert got == want
 
 
+def test_an_outcome_that_comes_late_is_put_in_its_place(spark, tmp_path):
+    for part in ([(1, "error"), (3, "error")], [(2, "ok"), (4, "error")]):
+        spark.createDataFrame([("s", q, x) for q, x in part], "source_id string, seq int, status string").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        query = streaks(spark.readStream.schema("source_id string, seq int, status string").parquet(f"{tmp_path}/in")).writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/check").option("path", f"{tmp_path}/out").trigger(availableNow=True).start()
+        query.awaitTermination()
+    assert sorted((r.seq, r.streak) for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [(1, 1), (2, 0), (3, 1), (3, 2), (4, 2)]
+
+
 def test_changed_pages_are_handled_once(spark, tmp_path):
     schema = "candidate_id bigint, source_id string, url string, text string, fetched_at timestamp_ntz, arrived_at timestamp_ntz"
     sources = spark.createDataFrame([("s", "https://h.ex/", None)], "id string, url string, list_url string")
