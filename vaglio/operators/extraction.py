@@ -70,7 +70,7 @@ def extracted(responses: DataFrame) -> DataFrame:
 
 
 def checked_rule(text: Column) -> Column:
-    """status (valid, invalid), reasons, usable, api_style, method and max_pages of a rule's JSON. Unknown fields are ignored."""
+    """status (valid, invalid), usable, api_style, method, max_pages and reasons of a rule's JSON. Unknown fields are ignored."""
     r = F.from_json(text, RULE)
     object_ = F.coalesce(strip(text).startswith("{") & F.try_parse_json(text).isNotNull(), F.lit(False)) & r.isNotNull()
     method = F.upper(F.coalesce(r["request"]["method"], F.lit("GET")))
@@ -86,6 +86,6 @@ def checked_rule(text: Column) -> Column:
     ok = F.size(reasons) == 0
     given = lambda c: F.coalesce(c, F.lit("")) != ""
     return F.struct(
-        F.when(ok, "valid").otherwise("invalid").alias("status"), reasons.alias("reasons"), (ok & (given(strip(r["item_selector"])) | given(r["results_path"]))).alias("usable"),
-        (ok & (given(r["results_path"]) | given(r["item_url_path"]))).alias("api_style"), F.when(ok, method).alias("method"), F.when(ok, pages).alias("max_pages"),
+        F.when(ok, "valid").otherwise("invalid").alias("status"), (ok & (given(strip(r["item_selector"])) | given(r["results_path"]))).alias("usable"),
+        (ok & (given(r["results_path"]) | given(r["item_url_path"]))).alias("api_style"), F.when(ok, method).alias("method"), F.when(ok, pages).alias("max_pages"), reasons.alias("reasons"),
     )
