@@ -63,3 +63,29 @@ def test_rows_without_issuer_and_audience_meet_on_the_amount(spark):
     grants = [(1, "Bando energia", None, None, 5000.0, seen), (2, "Bando turismo", "Comune di Bari", None, 900.0, seen), (3, "Bando musei PMI", None, None, 70.0, seen), (4, "Bando olivi", None, None, None, seen)]
     register = [(11, "Energia PMI", "Comune di Ravenna", None, 5010.0, seen), (12, "Turismo PMI", None, None, 900.0, seen), (13, "Musei", "Comune di Trento", None, 70.0, seen), (14, "Energia PMI", "Comune di Ravenna", None, 9000.0, seen)]
     assert {(r.a, r.b) for r in linkage.candidates(side(spark, grants), side(spark, register)).collect()} == {(1, 11), (2, 12), (3, 13)}
+
+
+def plan_run(frame) -> str:
+    """The plan that collecting frame ran, without its first draft."""
+    frame.collect()
+    return frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def few_calls(spark):
+    seen = dt.date(2026, 1, 10)
+    rows = [(k, f"Bando energia per PMI {2000 + k}", f"Comune di Borgo{'abcdefghij'[k]}", D, 1000.0 * k, seen) for k in range(1, 10)]
+    return side(spark, rows), side(spark, rows)
+
+
+def test_keys_and_rows_of_calls_do_not_go_through_the_driver(spark):
+    left, right = few_calls(spark)
+    pairs = linkage.candidates(left, right)
+    for frame in (pairs, linkage.votes(linkage.durable(pairs), left, right)):
+        assert "BroadcastExchange" not in plan_run(frame)
+
+
+def test_rows_that_lack_issuer_or_audience_meet_as_brute_force_says(spark):
+    lacks = list(itertools.product([False, True], [False, True]))
+    rows = {n: [(n + k, "Bando energia" + " PMI" * (not a), None if i else f"Comune di {town}", None, 5000.0, dt.date(2026, 1, 10)) for k, (a, i) in enumerate(lacks)] for n, town in ((0, "Ravenna"), (10, "Bari"))}
+    want = {(k, 10 + j) for k, (a, i) in enumerate(lacks) for j, (b, o) in enumerate(lacks) if i or o}
+    assert {(r.a, r.b) for r in linkage.candidates(side(spark, rows[0]), side(spark, rows[10])).collect()} == want
