@@ -89,3 +89,14 @@ def test_rows_that_lack_issuer_or_audience_meet_as_brute_force_says(spark):
     rows = {n: [(n + k, "Bando energia" + " PMI" * (not a), None if i else f"Comune di {town}", None, 5000.0, dt.date(2026, 1, 10)) for k, (a, i) in enumerate(lacks)] for n, town in ((0, "Ravenna"), (10, "Bari"))}
     want = {(k, 10 + j) for k, (a, i) in enumerate(lacks) for j, (b, o) in enumerate(lacks) if i or o}
     assert {(r.a, r.b) for r in linkage.candidates(side(spark, rows[0]), side(spark, rows[10])).collect()} == want
+
+
+def test_vote_patterns_go_through_the_driver_as_one_number(spark):
+    seen = dt.datetime(2026, 1, 10)
+    rows = [(k, f"Bando energia per PMI {2000 + k}", f"Comune di Borgo{'abcdefghij'[k]}", D, None, seen, 1000.0 * k, "s") for k in range(1, 10)]
+    grants = spark.createDataFrame([(*r[:6], None, r[6], r[7]) for r in rows], "grant_id bigint, title string, issuer string, deadline date, funding_text string, found_at timestamp_ntz, funding_min double, funding_max double, source_id string")
+    register = spark.createDataFrame([(*r[:4], r[6], r[5], None) for r in rows], "reg_id bigint, title string, issuer string, deadline date, funding_max double, published_on timestamp_ntz, territory string")
+    linked = linkage.link(grants, register, spark.createDataFrame([("EUR", 1.0)], "currency string, eur_rate double"))
+    sent = [line for line in plan_run(linked).splitlines() if " BroadcastExchange " in line]
+    assert len(sent) == 1 and sent[0].count("input[") == 1
+    assert {(r.grant_id, r.reg_id) for r in linkage.pairs_found(linked).collect()} == {(k, k) for k in range(1, 10)}
