@@ -100,3 +100,13 @@ def test_vote_patterns_go_through_the_driver_as_one_number(spark):
     sent = [line for line in plan_run(linked).splitlines() if " BroadcastExchange " in line]
     assert len(sent) == 1 and sent[0].count("input[") == 1
     assert {(r.grant_id, r.reg_id) for r in linkage.pairs_found(linked).collect()} == {(k, k) for k in range(1, 10)}
+
+
+def test_forms_and_their_bands_do_not_go_through_the_driver(spark):
+    spelt = ["Comune di Reggio Emilia", "Emilia Reggio (Comune)", "Com. Regio Emilia", "Ente Nazionale Cammini e Sentieri", "ENCS", "Fond. Gigi Buggouzo", "Fondazione Luigi Bugoguzo"]
+    forms = linkage.durable(names.forms_of(spark.createDataFrame(list(enumerate(spelt)), "spelling_id bigint, issuer string")))
+    links = names.links_of(forms.drop("spelling_id", "issuer"), forms.where("kind = 'other'").selectExpr("form", "issuer AS typed"))
+    for frame in (names._banded(forms), links):
+        assert "BroadcastExchange" not in plan_run(frame)
+    number = {r.form: r.spelling_id for r in forms.collect()}
+    assert {frozenset((number[r.a], number[r.b])) for r in links.collect()} >= {frozenset((3, 4)), frozenset((0, 2)), frozenset((5, 6))}
