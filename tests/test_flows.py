@@ -45,6 +45,23 @@ def test_capped_reads_pages_until_there_are_enough(spark):
     assert {r.list_id: (r.candidates, r.capped) for r in counts.collect()} == {"l": (6, True), "m": (1, False)}
 
 
+def _pager(spark, most):
+    """Pages of a list, each with a link to the next one, of which each holds two items."""
+    item = "<ul><li><a href='/b/x/{0}-1'>a</a></li><li><a href='/b/x/{0}-2'>b</a></li></ul>"
+    rows = [(f"https://h.ex/l?p={k}", "GET", 200, item.format(k) + f"<a rel=next href='/l?p={k + 1}'>avanti</a>", None) for k in range(1, most + 1)]
+    return spark.createDataFrame(rows, "url string, method string, status int, html string, rendered_html string")
+
+
+def test_only_pages_that_a_walk_reaches_are_parsed(spark, monkeypatch):
+    parsed = []
+    links = scan.pages.next_links
+    monkeypatch.setattr(scan.pages, "next_links", lambda rows, keep=(): parsed.extend(r.url for r in rows.select("url").collect()) or links(rows, keep))
+    lists = spark.createDataFrame([("a", "https://h.ex/l?p=38", "li", False), ("b", "https://h.ex/l?p=39", "li", False)], "list_id string, url string, selector string, rendered boolean")
+    _, counts = scan.paged(lists, spark.createDataFrame([], "list_id string, pos int, url string, title string"), _pager(spark, 40))
+    assert {r.list_id: r.pages_scanned for r in counts.collect()} == {"a": 3, "b": 2}
+    assert set(parsed) == {f"https://h.ex/l?p={k}" for k in (38, 39, 40)}
+
+
 def test_a_ladder_gates_its_attempts_and_blames_the_pool(spark):
     items = "".join(f"<li class='v'><a href='/b/x/{i}'>t{i}</a></li>" for i in range(5))
     lists = spark.createDataFrame([("1", "https://h.ex/l", f"<body><nav><a href='/'>h</a></nav>{items}</body>", "p.old"), ("2", "https://h.ex/m", "<p>x</p>", None)], "list_id string, url string, html string, cached string")

@@ -6,6 +6,7 @@ model answered is a table of answers. A page is parsed once for all selectors th
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import pandas as pd
@@ -19,7 +20,7 @@ from vaglio.functions.urls import canonical_url, netloc, truthy
 from vaglio.functions.values import dig
 from vaglio.operators import gate, pages
 from vaglio.operators.extraction import checked_rule
-from vaglio.session import durable
+from vaglio.session import durable, small_side
 
 #: Candidates kept of one source, and characters kept of a model's reasons and of what it proposed.
 MOST_CANDIDATES = 60
@@ -34,10 +35,26 @@ def fetched(requests: DataFrame, pages_: DataFrame, robots: DataFrame | None = N
     one that its domain's robots file forbids neither counts nor brings anything. rendered: where the rendered page is
     asked for; it counts if there is one. Of several records of a URL the one with the greatest status and html holds.
     """
+    known = recorded(pages_).groupBy("_u", "_m").agg(F.max("p").alias("_p"))
+    asked = requests.withColumn("_m2", F.upper(F.coalesce("method", F.lit("GET"))) if "method" in requests.columns else F.lit("GET")).withColumn("_u2", canonical_url(F.col("url")))
+    return brought(asked, known, robots, rendered).select(*requests.columns, "html", "counted")
+
+
+def recorded(pages_: DataFrame) -> DataFrame:
+    """_u, _m, p of each record of a page: its canonical URL, the method, and status, html and rendered html."""
     method = F.upper(F.coalesce("method", F.lit("GET"))) if "method" in pages_.columns else F.lit("GET")
     shown = F.col("rendered_html") if "rendered_html" in pages_.columns else F.lit(None).cast("string")
-    known = pages_.select(canonical_url(F.col("url")).alias("_u"), method.alias("_m"), F.struct("status", "html", shown.alias("rendered")).alias("p")).groupBy("_u", "_m").agg(F.max("p").alias("_p"))
-    asked = requests.withColumn("_m2", F.upper(F.coalesce("method", F.lit("GET"))) if "method" in requests.columns else F.lit("GET")).withColumn("_u2", canonical_url(F.col("url")))
+    return pages_.select(canonical_url(F.col("url")).alias("_u"), method.alias("_m"), F.struct("status", "html", shown.alias("rendered")).alias("p"))
+
+
+def among(records: DataFrame, asked: DataFrame) -> DataFrame:
+    """_u, _m, _p: of the recorded pages those that are asked for by _u2 and _m2, each once; asked is read twice."""
+    wanted, _ = small_side(asked.select(F.col("_u2").alias("_u"), F.col("_m2").alias("_m")).distinct())
+    return records.join(wanted, ["_u", "_m"], "left_semi").groupBy("_u", "_m").agg(F.max("p").alias("_p"))
+
+
+def brought(asked: DataFrame, known: DataFrame, robots: DataFrame | None, rendered: Column | None) -> DataFrame:
+    """asked (_u2, _m2 and any others) with html and counted; known: _u, _m, _p, one row a page."""
     met = asked.join(known, (F.col("_u2") == F.col("_u")) & (F.col("_m2") == F.col("_m")), "left")
     ok = F.lit(True)
     if robots is not None:
@@ -48,7 +65,7 @@ def fetched(requests: DataFrame, pages_: DataFrame, robots: DataFrame | None = N
     draw = F.coalesce(rendered, F.lit(False)) if rendered is not None else F.lit(False)
     html = F.when(ok, F.when(draw, F.nullif("_p.rendered", F.lit(""))).otherwise(plain))
     counted = ok & F.when(draw, F.nullif("_p.rendered", F.lit("")).isNotNull()).otherwise(F.col("_p.status").isNotNull())
-    return met.select(*requests.columns, html.alias("html"), F.coalesce(counted, F.lit(False)).alias("counted"))
+    return met.select(*asked.columns, html.alias("html"), F.coalesce(counted, F.lit(False)).alias("counted"))
 
 
 def answered_selector(answers: DataFrame) -> DataFrame:
@@ -160,27 +177,41 @@ def capped(found: DataFrame, most: int = MOST_CANDIDATES) -> tuple[DataFrame, Da
     return kept.select("list_id", F.col("k").alias("pos"), "url", "title"), counts
 
 
+def followed(starts: DataFrame, records: DataFrame, robots: DataFrame | None = None, most: int = pages.MAX_PAGES) -> DataFrame:
+    """start, rendered, page_no, url, html: pages reached along next links, the start first, none twice, at most most.
+
+    starts: start (a canonical URL), rendered; records: as recorded(), durable. Only pages that a walk reaches are
+    parsed, step by step, however many there are. Plain and rendered pages are two webs that do not link to each other.
+    """
+    at = durable(starts.select("start", "rendered", F.col("start").alias("url"), F.array("start").alias("seen"), F.lit(1).alias("page_no")))
+    out = []
+    while True:
+        asked = at.select("*", F.col("url").alias("_u2"), F.lit("GET").alias("_m2"))
+        step = durable(brought(asked, among(records, asked), robots, F.col("rendered")).where("html IS NOT NULL").select("start", "rendered", "page_no", "url", "html", "seen"))
+        out.append(step.drop("seen"))
+        if len(out) == most:
+            break
+        links = pages.next_links(step.select("url", "html", "rendered").dropDuplicates(["url", "rendered"]), keep=("rendered",))
+        onward = step.drop("html").join(links, ["url", "rendered"]).where(~F.array_contains("seen", F.col("next_url")))
+        at = durable(onward.select("start", "rendered", F.col("next_url").alias("url"), F.concat("seen", F.array("next_url")).alias("seen"), (F.col("page_no") + 1).alias("page_no")))
+        if at.isEmpty():
+            break
+    return functools.reduce(DataFrame.unionByName, out)
+
+
 def paged(lists: DataFrame, seed: DataFrame, pages_: DataFrame, robots: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(candidates, counts) of lists whose selector was accepted on their first page, over all pages of their pager.
 
     lists: list_id, url, selector, and rendered if there is such; seed: list_id, pos, url, title, the first page's accepted. Every further page is
-    gated by itself. counts: list_id, pages_scanned, candidates, capped.
+    gated by itself. pages_ may be recorded() already. counts: list_id, pages_scanned, candidates, capped.
     """
     rendered = F.col("rendered") if "rendered" in lists.columns else F.lit(False)
-    draw = lists.agg(F.max(F.coalesce(rendered, F.lit(False)))).first()[0]
-    every = pages_.select("url").distinct().withColumn("rendered", F.lit(False))
-    got = fetched(every, pages_, robots).unionByName(fetched(every.withColumn("rendered", F.lit(True)), pages_, robots, F.lit(True))) if draw else fetched(every, pages_, robots)
-    got = durable(got.where("html IS NOT NULL").select(canonical_url(F.col("url")).alias("url"), "rendered", "html").dropDuplicates(["url", "rendered"]))
-    # plain and rendered pages are two webs that do not link to each other
-    mark = lambda u, r: F.concat(F.when(r, "r ").otherwise("p "), u)
-    links = pages.next_links(got.select(F.col("url"), "html", "rendered"), keep=("rendered",))
-    net = got.select("url", "rendered").join(links, ["url", "rendered"], "left").select(mark(F.col("url"), F.col("rendered")).alias("url"), mark(F.col("next_url"), F.col("rendered")).alias("next_url"))
-    start = lists.select("list_id", "selector", canonical_url(F.col("url")).alias("start"), F.coalesce(rendered, F.lit(False)).alias("rendered"))
-    walked = pages.walk(start.select(mark(F.col("start"), F.col("rendered")).alias("url")).distinct(), net)
-    of = durable(start.withColumn("_s", mark(F.col("start"), F.col("rendered"))).join(walked.select(F.col("start").alias("_s"), "page_no", F.substr("url", F.lit(3)).alias("page")), "_s"))
-    later = of.where("page_no > 1").join(got.select(F.col("url").alias("page"), "rendered", "html"), ["page", "rendered"])
+    start = durable(lists.select("list_id", "selector", canonical_url(F.col("url")).alias("start"), F.coalesce(rendered, F.lit(False)).alias("rendered")))
+    walked = followed(start.select("start", "rendered").distinct(), pages_ if "_u" in pages_.columns else durable(recorded(pages_)), robots)
+    of = start.join(walked, ["start", "rendered"])
+    later = of.where("page_no > 1")
     key = F.to_json(F.struct("list_id", "page_no"))
-    links_, _ = gated(durable(tried(later.select(key.alias("list_id"), F.col("page").alias("url"), "html"), later.select(key.alias("list_id"), "selector"))))
+    links_, _ = gated(durable(tried(later.select(key.alias("list_id"), "url", "html"), later.select(key.alias("list_id"), "selector"))))
     more = links_.select(F.get_json_object("list_id", "$.list_id").alias("list_id"), F.get_json_object("list_id", "$.page_no").cast("int").alias("page_no"), "pos", "url", "title")
     # a page that adds nothing is a page all the same
     blank = of.where("page_no > 1").select("list_id", "page_no", F.lit(None).cast("int").alias("pos"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("title"))
@@ -198,11 +229,13 @@ def html_scan(lists: DataFrame, pages_: DataFrame, strategies: DataFrame, answer
     candidates were found), the page's diagnostics, what the ladder learnt, and the pager's counts. candidates: list_id,
     pos, url, title. An unfetched page, a ladder that had nothing to try, and one that was tried in vain are told apart.
     """
-    got = durable(fetched(lists, pages_, robots, F.col("rendered")))
+    records = durable(recorded(pages_))
+    asked = lists.select("*", canonical_url(F.col("url")).alias("_u2"), F.lit("GET").alias("_m2"))
+    got = durable(brought(asked, among(records, asked), robots, F.col("rendered")).drop("_u2", "_m2"))
     live = got.where("html IS NOT NULL")
     won, first = climbed(live, strategies, answers)
     first = durable(first)
-    candidates, counts = paged(live.join(won.where("selector_used IS NOT NULL").select("list_id", F.col("selector_used").alias("selector")), "list_id").select("list_id", "url", "selector", "rendered"), first, pages_, robots)
+    candidates, counts = paged(live.join(won.where("selector_used IS NOT NULL").select("list_id", F.col("selector_used").alias("selector")), "list_id").select("list_id", "url", "selector", "rendered"), first, records, robots)
     seen = got.select("list_id", "counted", F.col("html").isNull().alias("_missing"), H.diagnostics(H.clean_html(F.col("html"))).alias("d"))
     error = F.when(F.col("_missing"), "could not fetch listing").when(F.col("rung").isNotNull(), F.lit(None)).when((F.col("tried") == 0) & ~F.coalesce("answered", F.lit(False)), "no selector to try and no inference").otherwise("every rung was tried and gated out")
     out = seen.join(won, "list_id", "left").join(counts, "list_id", "left").select(
