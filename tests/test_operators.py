@@ -184,6 +184,21 @@ def test_soft_duplicates_equal_brute_force(spark):
     assert len(want) > 20 and got == want
 
 
+def test_titles_of_common_words_are_hardly_ever_aligned(spark, monkeypatch):
+    random.seed(4)
+    words = "bosco legno fiere borghi mare acque lana vino olio fiume più".split()
+    texts = sorted({" ".join(random.choices(words, k=random.randint(1, 7))) for _ in range(200)})
+    texts = sorted({*texts, *(t[: len(t) // 2] + "x" + t[len(t) // 2 :] for t in texts)})
+    want = {(a, b, indel_ratio(a, b)) for a in texts for b in texts if indel_ratio(a, b) >= 90}
+    aligned = []
+    monkeypatch.setattr(dedup, "indel_ratio", lambda a, b: aligned.append(a) or indel_ratio(a, b))
+    got = list(dedup.like_pairs(texts, texts, 90))
+    assert len(got) == len(want) and set(got) == want and len(aligned) < len(texts) ** 2 / 10
+    monkeypatch.setattr(dedup, "SHARD", 5)
+    rows = spark.createDataFrame([(dt.date(2026, 1, 1), t) for t in texts], "month date, text string")
+    assert sorted((r.a, r.b, r.score) for r in dedup.like_titles(rows, rows).collect()) == sorted(want)
+
+
 def test_upsert_keeps_first_values_and_old_ones_for_nulls(spark):
     old = spark.createDataFrame([("a", "t", 1, "k"), (None, "n", 2, "k")], "k string, title string, found int, link string")
     new = spark.createDataFrame([("a", "u", 5, None), ("b", "v", 6, "z"), (None, None, 7, None)], "k string, title string, found int, link string")
