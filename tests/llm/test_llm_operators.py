@@ -314,3 +314,27 @@ def test_found_queries_have_the_columns_asked_for(spark, data):
         rows = queries.QUERIES[name](spark, data)
         assert rows.columns == columns
         assert rows.count() == rows.distinct().count(), name
+
+
+def test_pairs_of_titles_compare_each_pair_of_words_once(monkeypatch):
+    import random
+
+    from vaglio.functions import distance
+    from vaglio.llm import linkage
+
+    random.seed(6)
+    words = ["".join(random.choices("aeilmnort", k=random.randint(4, 11))) for _ in range(25)]
+    words += [w[:2] + w[3] + w[2] + w[4:] for w in words]
+    compared = []
+    exact = distance.weighted_edit
+    monkeypatch.setattr(linkage, "weighted_edit", lambda a, b, *limit: compared.append((a, b)) or exact(a, b, *limit))
+    titles = [random.sample(words, 3) for _ in range(150)]
+    for a in titles:
+        for b in titles:
+            linkage.word_overlap(a, b)
+    assert compared and len(compared) == len(set(compared))
+    for a in words:
+        for b in words:
+            for limit in (1, 1.5, 2):
+                assert (exact(a, b, limit) <= limit) == (exact(a, b) <= limit)
+                assert exact(a, b, limit) in (exact(a, b), float("inf"))
