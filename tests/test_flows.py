@@ -62,6 +62,14 @@ def test_only_pages_that_a_walk_reaches_are_parsed(spark, monkeypatch):
     assert set(parsed) == {f"https://h.ex/l?p={k}" for k in (38, 39, 40)}
 
 
+def test_candidates_come_of_reached_pages_alone(spark, monkeypatch):
+    monkeypatch.setattr(scan.pages, "next_links", lambda rows, keep=(), links=scan.pages.next_links: links(rows, keep) if rows.count() <= 1 else 1 / 0)
+    lists = spark.createDataFrame([("a", "https://h.ex/l?p=39", "li", False)], "list_id string, url string, selector string, rendered boolean")
+    seed = spark.createDataFrame([("a", 0, "https://h.ex/b/x/39-1", "a")], "list_id string, pos int, url string, title string")
+    found, _ = scan.paged(lists, seed, _pager(spark, 40))
+    assert [r.url for r in found.orderBy("pos").collect()] == [f"https://h.ex/b/x/{k}" for k in ("39-1", "40-1", "40-2")]
+
+
 def test_a_ladder_gates_its_attempts_and_blames_the_pool(spark):
     items = "".join(f"<li class='v'><a href='/b/x/{i}'>t{i}</a></li>" for i in range(5))
     lists = spark.createDataFrame([("1", "https://h.ex/l", f"<body><nav><a href='/'>h</a></nav>{items}</body>", "p.old"), ("2", "https://h.ex/m", "<p>x</p>", None)], "list_id string, url string, html string, cached string")
